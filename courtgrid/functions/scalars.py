@@ -85,7 +85,7 @@ def normalize_email_ingest(x) -> Column:
     """Strip, lower; exactly one '@' with both sides non-empty, else null."""
     e = F.lower(py_strip(_c(x)))
     parts = F.split(e, "@", -1)
-    ok = (F.size(parts) == 2) & (F.element_at(parts, 1) != "") & (F.element_at(parts, 2) != "")
+    ok = (F.size(parts) == 2) & (F.try_element_at(parts, F.lit(1)) != "") & (F.try_element_at(parts, F.lit(2)) != "")
     return F.when(_c(x).isNotNull() & (e != "") & ok, e)
 
 
@@ -305,7 +305,7 @@ def hhmm_to_minutes(x) -> Column:
     c = _c(x)
     ok = c.rlike(r"^\d{1,2}:\d{2}(:\d{2})?$")
     parts = F.split(c, ":")
-    return F.when(ok, F.element_at(parts, 1).cast("int") * 60 + F.element_at(parts, 2).cast("int"))
+    return F.when(ok, F.try_element_at(parts, F.lit(1)).cast("int") * 60 + F.try_element_at(parts, F.lit(2)).cast("int"))
 
 
 # ---------------------------------------------------------------------------
