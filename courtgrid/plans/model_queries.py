@@ -26,7 +26,7 @@ from ..sources.tables import read_table
 from . import merge_queries as MQ
 from . import models as P
 from .facility_queries import HOURS_DOCS, PEAK_DOCS, _doc_col, _doc_sql
-from .registry import register
+from .registry import local_to_utc_sql, register
 
 # ---------------------------------------------------------------------------
 # Contacts (C1–C4, C22)
@@ -206,7 +206,7 @@ WITH {ISO_SQL.strip()}
 SELECT o_orderkey, iso_text,
   CASE WHEN off_min IS NOT NULL THEN wall - to_minutes(CAST(off_min AS BIGINT)) ELSE wall END AS parsed_utc,
   CASE WHEN off_min IS NOT NULL THEN wall - to_minutes(CAST(off_min AS BIGINT))
-       WHEN wall IS NOT NULL THEN timezone('UTC', timezone('America/New_York', wall)) END AS parsed_new_york,
+       WHEN wall IS NOT NULL THEN {local_to_utc_sql('wall', "'America/New_York'")} END AS parsed_new_york,
   CASE WHEN regexp_matches(iso_text, '^\\d{{4}}-\\d{{2}}-\\d{{2}}$') THEN CAST(iso_text AS DATE) END AS parsed_date,
   CASE WHEN off_min IS NOT NULL THEN dayname(wall - to_minutes(CAST(off_min AS BIGINT)))
        WHEN wall IS NOT NULL THEN dayname(wall) END AS weekday_utc

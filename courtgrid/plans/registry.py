@@ -41,3 +41,9 @@ def _skey(*parts: str) -> str:
     return "md5(concat_ws('-', " + ", ".join(f"coalesce({p}, {null})" for p in parts) + "))"
 
 
+def local_to_utc_sql(wall: str, tz: str) -> str:
+    """DuckDB: wall clock in ``tz`` -> UTC, taking the earlier instant of an
+    ambiguous (autumn) hour as Python's ``fold=0`` and Spark do."""
+    c = f"timezone('UTC', timezone({tz}, {wall}))"
+    return (f"(CASE WHEN timezone({tz}, timezone('UTC', {c} - INTERVAL 1 HOUR)) = {wall} "
+            f"THEN {c} - INTERVAL 1 HOUR ELSE {c} END)")

@@ -30,13 +30,18 @@ A_MEMBER = (
     "MembershipStartDate STRING, Staff BOOLEAN, IsStaff BOOLEAN"
 )
 A_EVENT = (
-    "Id STRING, id STRING, EventId STRING, Name STRING, name STRING, EventName STRING, "
+    "Id STRING, EventId STRING, Name STRING, EventName STRING, "
     "EventCategoryId BIGINT, EventCategoryName STRING, CategoryName STRING, EventType STRING, "
-    "TimeZone STRING, Timezone STRING, StartTime STRING, startTime STRING, StartDateTime STRING, "
-    "EndTime STRING, endTime STRING, EndDateTime STRING, MaxRegistrants STRING, RegisteredCount STRING, "
+    "TimeZone STRING, StartTime STRING, StartDateTime STRING, "
+    "EndTime STRING, EndDateTime STRING, MaxRegistrants STRING, RegisteredCount STRING, "
     "PriceInfo ARRAY<STRUCT<MembershipTypeName: STRING, DailyPrice: DOUBLE, EntireEventPrice: DOUBLE>>, "
     "Courts ARRAY<STRUCT<Id: BIGINT, Label: STRING, TypeName: STRING, OrderIndex: INT>>"
 )
+# Keys that differ from A_EVENT keys only by case.  Spark resolves column
+# names case-insensitively, so these are parsed into a separate ``_alt``
+# struct by :func:`parse_records`.
+A_EVENT_ALT = "id STRING, name STRING, startTime STRING, endTime STRING, Timezone STRING"
+
 _B_PERSON = ("STRUCT<id: STRING, email: STRING, phoneNumber: STRING, firstName: STRING, lastName: STRING, "
              "displayName: STRING, fullName: STRING>")
 B_EVENT = (
@@ -111,9 +116,21 @@ def unwrap_b(env: DataFrame, keep=("_file",)) -> DataFrame:
     return env.select(*keep, F.posexplode("items").alias("_pos", "_rec")).select(*keep, "_pos", "_rec.*")
 
 
-def parse_records(text_df: DataFrame, text_col: str, schema: str, keep=()) -> DataFrame:
-    """Records held as JSON text in a column (e.g. a landed table) -> struct columns."""
-    return text_df.select(*keep, F.from_json(F.col(text_col), schema).alias("_rec")).select(*keep, "_rec.*")
+def parse_records(text_df: DataFrame, text_col: str, schema: str, keep=(), alt_schema: str | None = None) -> DataFrame:
+    """Records held as JSON text in a column (e.g. a landed table) -> struct
+    columns; keys that clash by case go to the ``_alt`` struct."""
+    cols = [F.from_json(F.col(text_col), schema).alias("_rec")]
+    if alt_schema:
+        cols.append(F.from_json(F.col(text_col), alt_schema).alias("_alt"))
+    out = text_df.select(*keep, *cols)
+    return out.select(*keep, "_rec.*", *(["_alt"] if alt_schema else []))
+
+
+def read_landed_text(spark: SparkSession, path: str, schema: str, alt_schema: str | None = None) -> DataFrame:
+    """S1 for payloads whose keys differ only by case: read each file whole
+    as text, then parse (one record per line in JSON-lines files)."""
+    raw = spark.read.text(path).withColumn("_file", F.col("_metadata.file_path"))
+    return parse_records(raw.filter(F.trim("value") != ""), "value", schema, keep=("_file",), alt_schema=alt_schema)
 
 
 def sample(df: DataFrame, n: int | None, order_by) -> DataFrame:

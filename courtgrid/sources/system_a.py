@@ -137,17 +137,19 @@ def normalize_events(ev: DataFrame, categories: DataFrame | None, known_zones: l
     AQE to broadcast by measured size.  Fall-back type: CategoryName, then
     EventType, then EventCategoryName (Q9).
     """
-    event_id = S.truthy_or(F.col("Id"), F.col("id"), F.col("EventId"), F.lit(""))
-    zone = S.resolve_zone(known_zones, S.truthy_or(F.col("TimeZone"), F.col("Timezone"), F.lit(None)),
+    def alt(name):
+        return F.col("_alt")[name] if "_alt" in ev.columns else F.lit(None).cast("string")
+    event_id = S.truthy_or(F.col("Id"), alt("id"), F.col("EventId"), F.lit(""))
+    zone = S.resolve_zone(known_zones, S.truthy_or(F.col("TimeZone"), alt("Timezone"), F.lit(None)),
                           F.lit(S.SYSTEM_A_NAIVE_ZONE))
-    start_txt = S.truthy_or(F.col("StartTime"), F.col("startTime"), F.col("StartDateTime"), F.lit(None))
-    end_txt = S.truthy_or(F.col("EndTime"), F.col("endTime"), F.col("EndDateTime"), F.lit(None))
+    start_txt = S.truthy_or(F.col("StartTime"), alt("startTime"), F.col("StartDateTime"), F.lit(None))
+    end_txt = S.truthy_or(F.col("EndTime"), alt("endTime"), F.col("EndDateTime"), F.lit(None))
     regular, member = price_rates(F.col("PriceInfo"))
     base = ev.select(
         _tenant(ev, client_code).alias("client_code"),
         F.lit(SYSTEM_A).alias("source_system"),
         event_id.alias("event_id"),
-        S.truthy_or(F.col("Name"), F.col("name"), F.col("EventName"), F.lit("")).alias("event_name"),
+        S.truthy_or(F.col("Name"), alt("name"), F.col("EventName"), F.lit("")).alias("event_name"),
         F.col("EventCategoryId").cast("string").alias("_cat"),
         S.truthy_or(F.col("CategoryName"), F.col("EventType"), F.col("EventCategoryName"), F.lit(""))
         .alias("_fallback_type"),
