@@ -78,7 +78,7 @@ def _a_res_payload(spark, sf_dir) -> DataFrame:
                      F.to_json(rec).alias("payload"))
 
 
-@register("json_reservations_a", f"""
+ORACLE_RES_A = f"""
 WITH li AS (SELECT *, l_shipdate + to_hours(CAST(l_linenumber AS BIGINT)) AS st FROM lineitem),
 p AS (SELECT li.*, u.m FROM li, unnest([l_suppkey, NULL]) u(m) WHERE l_linenumber % 4 IN (2, 3))
 SELECT 'nation_' || CAST(l_suppkey % 25 AS VARCHAR) AS client_code,
@@ -91,7 +91,10 @@ SELECT 'nation_' || CAST(l_suppkey % 25 AS VARCHAR) AS client_code,
        CASE WHEN l_linestatus = 'F' THEN st - INTERVAL 3 HOUR
             WHEN l_linenumber = 3 THEN st - INTERVAL 5 HOUR END AS reservation_cancelled_at,
        CAST(m AS VARCHAR) AS member_id, CAST(m AS VARCHAR) AS club_member_key
-FROM p WHERE l_returnflag IN ('A', 'N')""")
+FROM p WHERE l_returnflag IN ('A', 'N')"""
+
+
+@register("json_reservations_a", ORACLE_RES_A)
 def json_reservations_a(spark, sf_dir):
     """N1 + N2 + C6: court reservations fanned out per player."""
     recs = _parse(_a_res_payload(spark, sf_dir), PL.A_RESERVATION)
