@@ -56,9 +56,14 @@ def _c(x) -> Column:
 # Whitespace helpers (Q21): Python strip() cuts any Unicode white space,
 # SQL trim() cuts spaces only.
 # ---------------------------------------------------------------------------
+# Python's white space, derived by rule from ``str.isspace`` (not a list).
+PY_WHITESPACE = "".join(chr(c) for c in range(0x110000) if chr(c).isspace())
+
+
 def py_strip(x) -> Column:
-    """Python ``str.strip()``: remove leading/trailing Unicode white space."""
-    return F.regexp_replace(_c(x), r"(?U)^\s+|\s+$", "")
+    """Python ``str.strip()``: remove leading/trailing Unicode white space
+    (Spark's ``btrim`` with Python's white-space set; no regex)."""
+    return F.btrim(_c(x), F.lit(PY_WHITESPACE))
 
 
 def blank_to_null(x) -> Column:
@@ -154,19 +159,22 @@ ISO_NAIVE_RE = rf"^{_ISO_DATE}([T ]{_ISO_TIME})?$"
 ISO_AWARE_RE = rf"^{_ISO_DATE}[T ]{_ISO_TIME}{_ISO_OFFSET}$"
 
 
+ISO_ANY_RE = rf"^{_ISO_DATE}([T ]{_ISO_TIME}({_ISO_OFFSET}|Z)?)?$"
+
+
 def parse_iso_utc(x, naive_zone="UTC") -> Column:
     """ISO text -> UTC instant; 'Z' accepted; naive text is read in
-    ``naive_zone`` (a zone name or a zone column); unparsable text -> null."""
-    s = F.regexp_replace(_c(x), "Z$", "+00:00")
-    # Offsets without a colon ('+0500') are widened to '+05:00' for the cast.
-    s_aware = F.regexp_replace(s, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    s_aware = F.regexp_replace(s_aware, r"([+-]\d{2})$", "$1:00")
+    ``naive_zone`` (a zone name or a zone column); unparsable text -> null.
+
+    One regex checks the ISO shape (Python's ``fromisoformat`` forms); the
+    offset test is plain string work on the part after the date, and
+    Spark's own cast parses 'Z', '+05', '+0530' and '+05:30'."""
+    s = _c(x)
     zone = F.lit(naive_zone) if isinstance(naive_zone, str) else naive_zone
-    naive_ts = s.try_cast("timestamp")  # session zone is UTC: wall clock kept
-    return (
-        F.when(s.rlike(ISO_AWARE_RE), s_aware.try_cast("timestamp"))
-        .when(s.rlike(ISO_NAIVE_RE), F.to_utc_timestamp(naive_ts, zone))
-    )
+    tail = F.substring(s, 11, 40)
+    has_offset = s.endswith("Z") | (F.instr(tail, "+") > 0) | (F.instr(tail, "-") > 0)
+    ts = s.try_cast("timestamp")  # session zone is UTC: a naive wall clock is kept as is
+    return F.when(s.rlike(ISO_ANY_RE), F.when(has_offset, ts).otherwise(F.to_utc_timestamp(ts, zone)))
 
 
 def parse_event_time(x) -> Column:

@@ -40,7 +40,7 @@ def _parse(df: DataFrame, schema: str, keep=("client_code",)) -> DataFrame:
 
 
 def _lineitem(spark, sf_dir):
-    li = read_table(spark, sf_dir, "lineitem")
+    li = read_table(spark, sf_dir, "lineitem", spread_scan=True)
     return li.withColumn("_start", F.timestamp_add("HOUR", F.col("l_linenumber"), F.col("l_shipdate")))
 
 
@@ -123,7 +123,7 @@ SELECT 'nation_' || CAST(o_custkey % 25 AS VARCHAR) AS client_code, 'courtreserv
 FROM o""")
 def json_cancellations_a(spark, sf_dir):
     """Cancellation rows with weekday and player name."""
-    o = read_table(spark, sf_dir, "orders")
+    o = read_table(spark, sf_dir, "orders", spread_scan=True)
     st = F.timestamp_add("MINUTE", F.col("o_orderkey") % 1440, F.col("o_orderdate"))
     k = F.col("o_orderkey")
     rec = F.struct(
@@ -174,7 +174,7 @@ SELECT 'nation_' || CAST(c_nationkey AS VARCHAR) AS client_code,
 FROM m""")
 def json_members_a(spark, sf_dir):
     """System-A members with ingest-rule contacts and membership flags."""
-    c = read_table(spark, sf_dir, "customer").join(contacts_view(spark, sf_dir), "c_custkey")
+    c = read_table(spark, sf_dir, "customer", spread_scan=True).join(contacts_view(spark, sf_dir), "c_custkey")
     k = F.col("c_custkey")
     dob = F.date_add(F.lit("1970-01-01").cast("date"), (k % 15000).cast("int"))
     rec = F.struct(
@@ -213,7 +213,7 @@ SELECT 'nation_' || CAST(c_nationkey AS VARCHAR) AS client_code,
 FROM m""")
 def json_members_b(spark, sf_dir):
     """N5 + N6: system-B users; phone as text or object; newest membership."""
-    c = read_table(spark, sf_dir, "customer").join(contacts_view(spark, sf_dir), "c_custkey")
+    c = read_table(spark, sf_dir, "customer", spread_scan=True).join(contacts_view(spark, sf_dir), "c_custkey")
     k = F.col("c_custkey")
     bday = F.timestamp_add("DAY", (k % 9000), F.lit("1980-01-01 20:00:00").cast("timestamp"))
     since = F.date_add(F.lit("2021-06-01").cast("date"), (k % 500).cast("int"))
@@ -290,13 +290,17 @@ def _a_event_payload(spark, sf_dir) -> DataFrame:
         F.when(ln == 1, F.lit("n/a")).otherwise(F.lit("30")).alias("MaxRegistrants"),
         prices.alias("PriceInfo"), courts.alias("Courts"),
     )
-    alt = F.struct(F.concat(F.lit("x"), F.col("l_orderkey").cast("string")).alias("id"),
+    # Keys differing only by case ('id' next to 'Id') are written by one
+    # to_json of a struct that holds both.
+    rec = F.struct(*[rec[f] for f in _A_EVENT_FIELDS],
+                   F.concat(F.lit("x"), F.col("l_orderkey").cast("string")).alias("id"),
                    F.when(ln % 4 == 2, F.lit("Europe/Paris")).alias("Timezone"))
-    # The lower-case keys are merged into the same JSON object text.
-    text = F.concat(F.expr("substring(to_json(_r), 1, length(to_json(_r)) - 1)"), F.lit(","),
-                    F.expr("substring(to_json(_a), 2)"))
     return li.select(F.concat(F.lit("nation_"), (F.col("l_suppkey") % 25).cast("string")).alias("client_code"),
-                     rec.alias("_r"), alt.alias("_a")).select("client_code", text.alias("payload"))
+                     F.to_json(rec).alias("payload"))
+
+
+_A_EVENT_FIELDS = ["Id", "Name", "EventName", "EventCategoryId", "CategoryName", "EventType", "TimeZone",
+                   "StartDateTime", "EndDateTime", "RegisteredCount", "MaxRegistrants", "PriceInfo", "Courts"]
 
 
 def _categories(spark, sf_dir) -> DataFrame:
@@ -365,7 +369,7 @@ SELECT 'nation_' || CAST(o_custkey % 25 AS VARCHAR) AS client_code, 'podplay' AS
 FROM o WHERE o_orderkey % 11 <> 0""")
 def json_events_b(spark, sf_dir):
     """System-B events; blank id skipped, payload zone or UTC, safe casts."""
-    o = read_table(spark, sf_dir, "orders")
+    o = read_table(spark, sf_dir, "orders", spread_scan=True)
     k = F.col("o_orderkey")
     st = F.timestamp_add("MINUTE", k % 1440, F.col("o_orderdate"))
     rec = F.struct(
@@ -482,7 +486,7 @@ SESSION_END = "2024-01-29 00:00:00"
 
 
 def _sessions_payload(spark, sf_dir) -> DataFrame:
-    e = read_table(spark, sf_dir, "events")
+    e = read_table(spark, sf_dir, "events", spread_scan=True)
     ts = F.col("ts")
     court = (F.col("user_id") % 4).cast("string")
     tab_t = "struct<type:string,table:struct<id:string,displayName:string,displayNameShort:string>>"
@@ -545,7 +549,7 @@ def session_counts(spark, sf_dir):
 # Place details (one place per supplier)
 # ---------------------------------------------------------------------------
 def _places(spark, sf_dir) -> DataFrame:
-    s = read_table(spark, sf_dir, "supplier")
+    s = read_table(spark, sf_dir, "supplier", spread_scan=True)
     k = F.col("s_suppkey")
     rv_t = "struct<name:string,rating:double,text:struct<text:string>,publishTime:string>"
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # --- payload record schemas (DDL) -------------------------------------------
 A_RESERVATION = (
@@ -38,8 +39,8 @@ A_EVENT = (
     "Courts ARRAY<STRUCT<Id: BIGINT, Label: STRING, TypeName: STRING, OrderIndex: INT>>"
 )
 # Keys that differ from A_EVENT keys only by case.  Spark resolves column
-# names case-insensitively, so these are parsed into a separate ``_alt``
-# struct by :func:`parse_records`.
+# names case-insensitively, so :func:`parse_records` parses them in the same
+# pass and moves them into a separate ``_alt`` struct by a renaming cast.
 A_EVENT_ALT = "id STRING, name STRING, startTime STRING, endTime STRING, Timezone STRING"
 
 _B_PERSON = ("STRUCT<id: STRING, email: STRING, phoneNumber: STRING, firstName: STRING, lastName: STRING, "
@@ -116,14 +117,26 @@ def unwrap_b(env: DataFrame, keep=("_file",)) -> DataFrame:
     return env.select(*keep, F.posexplode("items").alias("_pos", "_rec")).select(*keep, "_pos", "_rec.*")
 
 
-def parse_records(text_df: DataFrame, text_col: str, schema: str, keep=(), alt_schema: str | None = None) -> DataFrame:
+def parse_records(text_df: DataFrame, text_col: str, schema: str, keep=(), alt_schema: str | None = None,
+                  spread_input: bool = True) -> DataFrame:
     """Records held as JSON text in a column (e.g. a landed table) -> struct
-    columns; keys that clash by case go to the ``_alt`` struct."""
-    cols = [F.from_json(F.col(text_col), schema).alias("_rec")]
-    if alt_schema:
-        cols.append(F.from_json(F.col(text_col), alt_schema).alias("_alt"))
-    out = text_df.select(*keep, *cols)
-    return out.select(*keep, "_rec.*", *(["_alt"] if alt_schema else []))
+    columns; keys that clash by case go to the ``_alt`` struct.
+
+    JSON decoding is per-row CPU work, so an input with fewer splits than
+    cores is spread first (:func:`tables.spread`; a no-op on big inputs)."""
+    from .tables import spread
+
+    src = spread(text_df) if spread_input else text_df
+    if not alt_schema:
+        out = src.select(*keep, F.from_json(F.col(text_col), schema).alias("_rec"))
+        return out.select(*keep, "_rec.*")
+    main = T.StructType.fromDDL(schema)
+    alt = T.StructType.fromDDL(alt_schema)
+    both = T.StructType(main.fields + alt.fields)
+    renamed = T.StructType(main.fields + [T.StructField(f"_alt_{f.name}", f.dataType) for f in alt.fields])
+    out = src.select(*keep, F.from_json(F.col(text_col), both).cast(renamed).alias("_rec"))
+    return out.select(*keep, *[F.col("_rec")[f.name].alias(f.name) for f in main.fields],
+                      F.struct(*[F.col("_rec")[f"_alt_{f.name}"].alias(f.name) for f in alt.fields]).alias("_alt"))
 
 
 def read_landed_text(spark: SparkSession, path: str, schema: str, alt_schema: str | None = None) -> DataFrame:

@@ -87,7 +87,7 @@ def normalize_cancellations(c: DataFrame, client_code=None) -> DataFrame:
 def parse_date_prefix(x: Column) -> Column:
     """``datetime.fromisoformat(v).date()``: the date written in the text, for
     any valid ISO date or date-time text; else null."""
-    ok = x.rlike(S.ISO_NAIVE_RE) | x.rlike(S.ISO_AWARE_RE)
+    ok = x.rlike(S.ISO_ANY_RE)
     return F.when(ok & S.parse_iso_utc(x).isNotNull(), F.substring(x, 1, 10).try_cast("date"))
 
 

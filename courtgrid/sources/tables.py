@@ -23,14 +23,32 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan over the cluster when it yields fewer partitions than
+    there are cores (a small table stored as one row group is read by one
+    task).  Big inputs already have more splits than cores and are returned
+    unchanged, so no shuffle is added at scale.  The split count is known
+    at planning time; no job runs."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread_scan: bool = False) -> DataFrame:
     """One table of a data folder; timestamps become UTC instants.
 
+    ``spread_scan`` is for plans whose first stage is per-row CPU work
+    (JSON encode/decode) rather than a shuffle; see :func:`spread`.
+
     The test tables store ``TIMESTAMP_NTZ``; under the UTC session a cast to
     ``TIMESTAMP`` keeps the wall clock and gives an instant, which the zone
     functions need.  The cast is a projection, so pushdown is unaffected.
     """
     df = spark.read.parquet(table_path(sf_dir, name))
+    if spread_scan:
+        df = spread(df)
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.TimestampNTZType):
