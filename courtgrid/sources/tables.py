@@ -29,6 +29,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     task).  Big inputs already have more splits than cores and are returned
     unchanged, so no shuffle is added at scale.  The split count is known
     at planning time; no job runs."""
+    if df.isStreaming:
+        return df  # micro-batches are sized by the source options instead
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= want:
