@@ -122,21 +122,24 @@ def parse_records(text_df: DataFrame, text_col: str, schema: str, keep=(), alt_s
     """Records held as JSON text in a column (e.g. a landed table) -> struct
     columns; keys that clash by case go to the ``_alt`` struct.
 
-    JSON decoding is per-row CPU work, so an input with fewer splits than
-    cores is spread first (:func:`tables.spread`; a no-op on big inputs)."""
+    The parse runs inside a generator (``inline`` of a one-element array).
+    Filters on the parsed fields cannot be pushed below a generator, so
+    Catalyst cannot copy ``from_json`` into every pushed-down predicate:
+    each record is decoded exactly once.  JSON decoding is per-row CPU work,
+    so an input with fewer splits than cores is spread first
+    (:func:`tables.spread`; a no-op on big inputs)."""
     from .tables import spread
 
     src = spread(text_df) if spread_input else text_df
     if not alt_schema:
-        out = src.select(*keep, F.from_json(F.col(text_col), schema).alias("_rec"))
-        return out.select(*keep, "_rec.*")
+        return src.select(*keep, F.inline(F.array(F.from_json(F.col(text_col), schema))))
     main = T.StructType.fromDDL(schema)
     alt = T.StructType.fromDDL(alt_schema)
     both = T.StructType(main.fields + alt.fields)
     renamed = T.StructType(main.fields + [T.StructField(f"_alt_{f.name}", f.dataType) for f in alt.fields])
-    out = src.select(*keep, F.from_json(F.col(text_col), both).cast(renamed).alias("_rec"))
-    return out.select(*keep, *[F.col("_rec")[f.name].alias(f.name) for f in main.fields],
-                      F.struct(*[F.col("_rec")[f"_alt_{f.name}"].alias(f.name) for f in alt.fields]).alias("_alt"))
+    out = src.select(*keep, F.inline(F.array(F.from_json(F.col(text_col), both).cast(renamed))))
+    return out.select(*keep, *[f.name for f in main.fields],
+                      F.struct(*[F.col(f"_alt_{f.name}").alias(f.name) for f in alt.fields]).alias("_alt"))
 
 
 def read_landed_text(spark: SparkSession, path: str, schema: str, alt_schema: str | None = None) -> DataFrame:
