@@ -270,18 +270,28 @@ def orphan_slots(flagged: DataFrame, h: DataFrame) -> DataFrame:
 class SlotPlan:
     """The shared sub-plans of one composition run (L1–L3), built once.
 
-    ``persist`` keeps the flagged halves in memory/disk for the four
-    consumers; if an executor is lost the blocks are recomputed from the
-    (short) lineage, so no checkpoint is needed here.
+    Four consumers (hour, two-hour, cross-court, orphan) read the flagged
+    halves.  Without materialising them each consumer would rescan the
+    input and redo the window shuffle (column pruning makes the subtrees
+    differ, so exchanges are not reused).  ``materialize='checkpoint'``
+    (default) writes them once to the session's ``spark.checkpoint.dir``:
+    the lineage is cut, executors lost later recompute nothing upstream,
+    and the four branches read the written files.  ``'persist'`` caches
+    instead; ``None`` keeps one lazy plan.
     """
 
     def __init__(self, avail: DataFrame, as_of="2024-01-01", horizon_days: int = 7,
-                 display_zone: str = "UTC", persist: bool = False):
+                 display_zone: str = "UTC", materialize: str | None = "checkpoint"):
         self.display_zone = display_zone
-        self.h = halves(avail, as_of, horizon_days)
-        self.flagged = flag_halves(self.h)
-        if persist:
-            self.flagged = self.flagged.persist()
+        flagged = flag_halves(halves(avail, as_of, horizon_days))
+        if materialize == "checkpoint":
+            from ..session import ensure_checkpoint_dir
+            ensure_checkpoint_dir(flagged.sparkSession)
+            flagged = flagged.checkpoint(eager=True)
+        elif materialize == "persist":
+            flagged = flagged.persist()
+        self.flagged = flagged
+        self.h = flagged
         names = first_half_names(self.h)
         self.fh_named = full_hour_courts(self.flagged).join(
             names, ["client_code", "court_id", "hour_start"], "left")
@@ -338,6 +348,6 @@ def finish(two_hour: DataFrame, hour: DataFrame, cross: DataFrame, orphan: DataF
 
 
 def compose_slots(avail: DataFrame, as_of="2024-01-01", horizon_days: int = 7,
-                  display_zone: str = "UTC") -> DataFrame:
+                  display_zone: str = "UTC", materialize: str | None = "checkpoint") -> DataFrame:
     """P12 ``fct_court_availability_fe``: the full slot composition."""
-    return SlotPlan(avail, as_of, horizon_days, display_zone).all()
+    return SlotPlan(avail, as_of, horizon_days, display_zone, materialize).all()

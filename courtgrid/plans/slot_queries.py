@@ -236,8 +236,11 @@ SELECT {_skey('client_code', _pgts('slot_start'), _pgts('slot_end'), 'slot_type'
 FROM all_slots"""
 
 
+SLOT_MATERIALIZE = "checkpoint"
+
+
 def _slot_plan(spark, sf_dir) -> L.SlotPlan:
-    return L.SlotPlan(avail_view(spark, sf_dir), AS_OF, HORIZON_DAYS)
+    return L.SlotPlan(avail_view(spark, sf_dir), AS_OF, HORIZON_DAYS, materialize=SLOT_MATERIALIZE)
 
 
 def _unsentinel(df: DataFrame) -> DataFrame:

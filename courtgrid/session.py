@@ -23,6 +23,11 @@ REQUIRED_CONF = {
     # the (client_code, source_system) partitions present in the batch.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+# Settings applied when the session is built (static confs).
+BUILD_CONF = {
+    # Checkpoint files of DataFrames no longer referenced are removed.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
 
 
 def build_session(master: str | None = None, app_name: str = "courtgrid",
@@ -35,6 +40,7 @@ def build_session(master: str | None = None, app_name: str = "courtgrid",
     if master:
         builder = builder.master(master)
     conf = dict(REQUIRED_CONF)
+    conf.update(BUILD_CONF)
     conf.setdefault("spark.ui.enabled", "false")
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
