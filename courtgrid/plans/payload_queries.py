@@ -104,7 +104,7 @@ def json_reservations_a(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # System-A cancellations
 # ---------------------------------------------------------------------------
-@register("json_cancellations_a", f"""
+ORACLE_CANCEL_A = f"""
 WITH o AS (SELECT *, o_orderdate + to_minutes(CAST(o_orderkey % 1440 AS BIGINT)) AS st FROM orders)
 SELECT 'nation_' || CAST(o_custkey % 25 AS VARCHAR) AS client_code, 'courtreserve' AS source_system,
        CAST(o_custkey % 97 AS VARCHAR) AS event_id, CAST(o_orderkey AS VARCHAR) AS reservation_id,
@@ -120,7 +120,10 @@ SELECT 'nation_' || CAST(o_custkey % 25 AS VARCHAR) AS client_code, 'courtreserv
        'p' || CAST(o_custkey AS VARCHAR) || '@mail.org' AS player_email, CAST(NULL AS VARCHAR) AS player_phone,
        o_totalprice AS fee, o_orderstatus = 'O' AS is_team_event,
        o_orderpriority AS event_category_name, o_custkey % 7 AS event_category_id
-FROM o""")
+FROM o"""
+
+
+@register("json_cancellations_a", ORACLE_CANCEL_A)
 def json_cancellations_a(spark, sf_dir):
     """Cancellation rows with weekday and player name."""
     o = read_table(spark, sf_dir, "orders", spread_scan=True)
