@@ -68,3 +68,21 @@ def test_incremental_overlap(spark):
     assert mid.count() == 2
     ninety = T.incremental(recs, res, "t", F.col("src"), overlap=90)
     assert [r.t.hour for r in ninety.collect()] == [14]
+
+
+def test_sample_and_truncate(spark):
+    from courtgrid.sources import payloads as PL
+    from courtgrid.sources import tables as TB
+    df = spark.range(100)
+    assert [r.id for r in PL.sample(df, 3, ["id"]).collect()] == [0, 1, 2]
+    assert TB.truncate(df).count() == 0 and TB.truncate(df).columns == ["id"]
+
+
+def test_pushdown_and_pruning(spark):
+    import __spark_entry__ as E
+    df = E.queries()["upsert_customers"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,O)]" in plan
+    # o_orderdate (between o_totalprice and o_orderpriority) is pruned from the scan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,o_totalprice:double," \
+           "o_orderpriorit" in plan
