@@ -91,6 +91,8 @@ def busy_intervals(events: DataFrame | None, reservations: DataFrame | None) ->
     if events is not None:
         parts.append(events.select("client_code", "courts", "start", "end"))
     if reservations is not None:
+        # Events and reservations may come as one frame (events carry a null
+        # ``cancelled``), which reads the source once.
         parts.append(reservations.filter(F.col("cancelled").isNull() | (F.col("cancelled").cast("string") == ""))
                      .select("client_code", "courts", "start", "end"))
     u = parts[0]

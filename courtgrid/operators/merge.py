@@ -258,6 +258,24 @@ def copy_column(target: DataFrame, source: DataFrame, key: str, col: str) -> Dat
     return j.select(*[(F.coalesce("_v", target[c]) if c == col else target[c]).alias(c) for c in target.columns])
 
 
+def merge_reservations_observed(current: DataFrame, incoming: DataFrame, pos: str = "_pos"):
+    """M1 + A7 in one pass: the same plan as :func:`merge_reservations` with a
+    row-count ``Observation`` on each step.  The counts are filled in when
+    the returned frame is written (one job), so no step is recomputed to be
+    counted.  Returns ``(next, {step: Observation})``."""
+    from pyspark.sql import Observation
+
+    obs = {k: Observation(f"m1_{k}") for k in ("incoming", "batch_dedupe", "stage_dedupe", "new_vs_production")}
+
+    def count(df, k):
+        return df.observe(obs[k], F.count(F.lit(1)).alias("rows"))
+    b = count(incoming, "incoming")
+    b = count(dedupe_latest(b, RES_BATCH_KEY, "reservation_updated_at", pos), "batch_dedupe")
+    b = count(stage_dedupe(b, RES_STAGE_KEY, "reservation_updated_at", "created_at", tie=pos), "stage_dedupe")
+    b = count(anti_existing(b, current, RES_STAGE_KEY, null_safe=True), "new_vs_production")
+    return upsert(current, b.select(*current.columns), RES_BATCH_KEY), obs
+
+
 def audit_counts(stages: dict[str, DataFrame]) -> DataFrame:
     """One row per load step with its row count, as a lazy union of
     global counts (each a single partial+final aggregate)."""

@@ -293,8 +293,16 @@ class SlotPlan:
         self.flagged = flagged
         self.h = flagged
         names = first_half_names(self.h)
-        self.fh_named = full_hour_courts(self.flagged).join(
+        fh_named = full_hour_courts(self.flagged).join(
             names, ["client_code", "court_id", "hour_start"], "left")
+        # The full-hour courts feed the hour slots and both sides of the
+        # two-hour pairing; materialising this (much smaller) set keeps those
+        # five readers off the flagged halves.
+        if materialize == "checkpoint":
+            fh_named = fh_named.checkpoint(eager=True)
+        elif materialize == "persist":
+            fh_named = fh_named.persist()
+        self.fh_named = fh_named
         self.hours = hour_slots(self.fh_named)
 
     def hour(self) -> DataFrame:

@@ -202,20 +202,19 @@ def peak_label(spark, sf_dir):
 
 
 def busy_sources(spark, sf_dir):
+    """Events and reservations as one frame (one scan): click/view/purchase
+    rows are events (never cancelled), signup rows active reservations,
+    error rows cancelled reservations."""
     ev = read_table(spark, sf_dir, "events")
     label = F.concat(F.lit("Court #"), (F.col("user_id") % 4 + 1).cast("string"))
     text = F.when(F.col("event_type") == "purchase", F.concat(F.lit("Court #1, "), label)).otherwise(label)
-    base = ev.select(
+    return ev.select(
         F.concat(F.lit("nation_"), (F.col("user_id") % 25).cast("string")).alias("client_code"),
         S.parse_courts_text(text).alias("courts"),
         F.col("ts").alias("start"),
         F.timestamp_add("MINUTE", F.round("value").cast("bigint"), F.col("ts")).alias("end"),
         F.when(F.col("event_type") == "error", F.col("ts")).alias("cancelled"),
-        "event_type",
     )
-    events = base.filter(F.col("event_type").isin("click", "view", "purchase")).drop("cancelled", "event_type")
-    reservations = base.filter(F.col("event_type").isin("signup", "error")).drop("event_type")
-    return events, reservations
 
 
 GRID_CTES = f"""
@@ -269,8 +268,7 @@ def free_slots(spark, sf_dir):
     """V1–V5: opening grid of every court minus busy intervals."""
     zones = S.known_zone_names(spark)
     t = tenants_view(spark, sf_dir).select("client_code", "operating_hours")
-    events, reservations = busy_sources(spark, sf_dir)
-    return V.free_slots(courts_view(spark, sf_dir), t, events, reservations, DATE_FROM, DATE_TO, zones)
+    return V.free_slots(courts_view(spark, sf_dir), t, None, busy_sources(spark, sf_dir), DATE_FROM, DATE_TO, zones)
 
 
 @register("opening_grid", f"""

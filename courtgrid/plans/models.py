@@ -101,8 +101,35 @@ def stg_reservations_b(res_raw: DataFrame, stg_orgs: DataFrame, drop_cancelled:
 
 
 def stg_reservations(res_raw: DataFrame, stg_orgs: DataFrame) -> DataFrame:
-    """Union of both systems; system code from the tenant (not lower-cased
-    join, as in the model: J2)."""
+    """Both systems' staging (P4, P5) and the union in one pass over the
+    raw table: one join to the tenants picks the system and its key rule,
+    a second (not lower-cased, J2) gives the reservation system code."""
+    o = stg_orgs.select(F.col("client_code").alias("_occ"), F.col("source_system_code").alias("_sys"))
+    r = res_raw.join(o.filter(F.col("_sys").isin(SYSTEM_A, SYSTEM_B)),
+                     F.lower(res_raw["client_code"]) == o["_occ"], "inner")
+    start_txt = F.coalesce(S.pg_timestamptz_text(F.col("reservation_start_at")), F.lit(""))
+    key_a = F.coalesce(F.col("reservation_id"), F.col("event_id"), F.col("member_id"))
+    key_b = F.coalesce(F.col("reservation_id"), F.col("event_id"))
+    u = r.select(
+        S.md5_key(F.col("_sys"), F.col("client_code"),
+                  F.when(F.col("_sys") == SYSTEM_A, key_a).otherwise(key_b), start_txt).alias("reservation_pk"),
+        F.col("_sys").alias("source_system_code"), "client_code", "reservation_id", "event_id", "member_id",
+        "reservation_created_at", "reservation_updated_at", "reservation_start_at", "reservation_end_at",
+        F.col("created_at").alias("ingested_at"),
+    )
+    o2 = stg_orgs.select(F.col("client_code").alias("_occ2"), F.col("source_system_code").alias("_sys2"))
+    j = u.join(o2, u["client_code"] == o2["_occ2"], "left")
+    return j.select(
+        "reservation_pk", "source_system_code", "client_code",
+        F.coalesce(F.col("_sys2"), F.col("source_system_code")).alias("reservation_system_code"),
+        "reservation_id", "event_id", "member_id", "reservation_created_at", "reservation_updated_at",
+        "reservation_start_at", "reservation_end_at", "ingested_at",
+    )
+
+
+def stg_reservations_union(res_raw: DataFrame, stg_orgs: DataFrame) -> DataFrame:
+    """P6 spelled as in the models (two staging views, then union); same
+    result as :func:`stg_reservations`, which reads the raw table once."""
     u = stg_reservations_a(res_raw, stg_orgs).unionByName(stg_reservations_b(res_raw, stg_orgs))
     o = stg_orgs.select(F.col("client_code").alias("_occ"), F.col("source_system_code").alias("_sys"))
     j = u.join(o, u["client_code"] == o["_occ"], "left")

@@ -587,13 +587,7 @@ FROM supplier""")
 def place_reviews(spark, sf_dir):
     """N18 + N19 + N20: review aggregate, first photo and review count per place."""
     p = _places(spark, sf_dir)
-    agg = PLC.review_aggregate(p).withColumn("_pid", F.col("link_to_reviews"))
-    photo = PLC.first_photo(p)
-    n = PLC.reviews(p).groupBy("place_id").agg(F.count(F.lit(1)).alias("n_reviews"))
-    base = p.select("client_code", F.col("id").alias("place_id"))
-    out = (base.join(photo.drop("client_code"), "place_id", "left")
-           .join(n, "place_id", "left")
-           .join(agg.select(F.substring_index("link_to_reviews", ":", -1).alias("place_id"), "review_service",
-                            "num_reviews", "avg_review", "link_to_reviews"), "place_id", "left"))
-    return out.select("client_code", "review_service", "num_reviews", "avg_review", "link_to_reviews",
-                      "photo_name", "photo_url", F.coalesce("n_reviews", F.lit(0)).cast("int").alias("n_reviews"))
+    # One pass over the parsed places: the place operators' columns side by
+    # side (N20's row count is the size of the review list).
+    return p.select("client_code", *PLC.review_columns(), *PLC.photo_columns(),
+                    F.greatest(F.size("reviews"), F.lit(0)).cast("int").alias("n_reviews"))

@@ -143,3 +143,13 @@ def test_snapshot_versions(spark, tmp_path):
     # re-running a batch with the same version number rewrites it (idempotent)
     SN.merge_into(spark, base, b, lambda cur, inc: M.upsert(cur, inc, ["k"]), version=2)
     assert SN.versions(spark, base) == [1, 2]
+
+
+def test_observed_merge_counts_in_one_pass(spark):
+    prod = spark.createDataFrame([_res("r1", "m1", 10, 11)], RES)
+    inc = spark.createDataFrame([_res("r1", "m1", 10, 12), _res("r3", "m3", 9, 10), _res("r3", "m3", 9, 10)],
+                                RES).withColumn("_pos", F.monotonically_increasing_id())
+    nxt, obs = M.merge_reservations_observed(prod, inc)
+    nxt.write.format("noop").mode("overwrite").save()
+    got = {k: o.get["rows"] for k, o in obs.items()}
+    assert got == {"incoming": 3, "batch_dedupe": 2, "stage_dedupe": 2, "new_vs_production": 1}
