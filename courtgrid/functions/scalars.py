@@ -206,15 +206,19 @@ def resolve_zone(known_zones: Iterable[str], *candidates) -> Column:
 
 
 def known_zone_names(spark) -> list[str]:
-    """Zone names both the JVM and Python's zone database know."""
+    """Zone names both the JVM and Python's zone database know (Python's
+    alone when the JVM is not reachable, e.g. over Spark Connect)."""
     import zoneinfo
 
-    jvm_ids = set(spark.sparkContext._jvm.java.time.ZoneId.getAvailableZoneIds())
     try:
-        py_ids = zoneinfo.available_timezones()
+        py_ids = set(zoneinfo.available_timezones())
     except Exception:  # pragma: no cover - no tz database
-        py_ids = jvm_ids
-    return sorted((jvm_ids & py_ids) | {"UTC"})
+        py_ids = set()
+    try:
+        jvm_ids = set(spark.sparkContext._jvm.java.time.ZoneId.getAvailableZoneIds())
+    except Exception:  # pragma: no cover - Spark Connect
+        jvm_ids = py_ids
+    return sorted(((jvm_ids & py_ids) if py_ids else jvm_ids) | {"UTC"})
 
 
 # ---------------------------------------------------------------------------

@@ -32,8 +32,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.isStreaming:
         return df  # micro-batches are sized by the source options instead
     spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    try:
+        want = min_partitions or spark.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # pragma: no cover - no RDD access (Spark Connect)
+        return df
+    if have >= want:
         return df
     return df.repartition(want)
 
