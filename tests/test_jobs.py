@@ -69,3 +69,17 @@ def test_model_build(spark, tmp_path):
     written = J.model_build(spark, raw, out, "2024-01-01")
     assert written == ["dim_clients", "dim_members", "fct_reservations", "fct_events"]
     assert spark.read.parquet(os.path.join(out, "fct_events")).filter(F.col("skill_level").isNull()).count() == 0
+
+
+def test_reservations_load_partitioned(spark, tmp_path):
+    landing, snap, wm = str(tmp_path / "landing"), str(tmp_path / "snap"), str(tmp_path / "wm")
+    _land(landing, "a", "p1.json", [_res(1, "2025-01-06T10:00:00", "2025-01-02T00:00:00", [11])])
+    _land(landing, "b", "p1.json", [_res(2, "2025-01-06T10:00:00", "2025-01-02T00:00:00", [12])])
+    J.reservations_load(spark, landing, snap, wm, "2025-01-05 00:00:00", mode="full", layout="partitioned")
+    b_files = sorted(os.listdir(os.path.join(snap, "client_code=b")))
+    landing2 = str(tmp_path / "landing2")
+    _land(landing2, "a", "p2.json", [_res(1, "2025-01-09T10:00:00", "2025-01-05T00:00:00", [11])])
+    J.reservations_load(spark, landing2, snap, wm, "2025-01-06 00:00:00", mode="full", layout="partitioned")
+    assert sorted(os.listdir(os.path.join(snap, "client_code=b"))) == b_files
+    got = sorted((r.client_code, r.reservation_start_at.day) for r in spark.read.parquet(snap).collect())
+    assert got == [("a", 9), ("b", 6)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
@@ -164,3 +165,21 @@ def test_snapshot_replay_reads_prior_state(spark, tmp_path):
     SN.merge_into(spark, base, b, lambda cur, inc: cur.unionByName(inc), version=2)
     SN.merge_into(spark, base, b, lambda cur, inc: cur.unionByName(inc), version=2)  # replay
     assert _rows(SN.read_latest(spark, base), ["k", "v"]) == [("a", 1), ("b", 2)]
+
+
+def test_merge_partitions_touches_only_batch_partitions(spark, tmp_path):
+    from courtgrid.sources import snapshot as SN
+    base = str(tmp_path / "res")
+    first = spark.createDataFrame([_res("r1", "m1", 10, 11), _res("r2", "m2", 10, 11)], RES) \
+        .withColumn("client_code", F.when(F.col("reservation_id") == "r1", "t1").otherwise("t2"))
+    SN.merge_partitions(spark, base, first, lambda cur, inc: M.upsert(cur, inc, M.RES_BATCH_KEY), ["client_code"])
+    before_t2 = sorted(os.listdir(os.path.join(base, "client_code=t2")))
+    inc = spark.createDataFrame([_res("r1", "m1", 14, 15)], RES).withColumn("client_code", F.lit("t1")) \
+        .withColumn("_pos", F.lit(1))
+    SN.merge_partitions(spark, base, inc, lambda cur, b: M.merge_reservations(cur, b), ["client_code"])
+    assert sorted(os.listdir(os.path.join(base, "client_code=t2"))) == before_t2  # untouched
+    got = _rows(spark.read.parquet(base), ["client_code", "reservation_id", "reservation_start_at"])
+    assert got == [("t1", "r1", D + dt.timedelta(hours=14)), ("t2", "r2", D + dt.timedelta(hours=10))]
+    plan = spark.read.parquet(base).join(inc.select("client_code").distinct(), ["client_code"], "left_semi") \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower() or "PartitionFilters" in plan
