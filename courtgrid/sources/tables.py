@@ -39,7 +39,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
         return df
     if have >= want:
         return df
-    return df.repartition(want)
+    # Hash of the whole row: deterministic on recompute without the local
+    # sort a round-robin repartition needs, and even unless rows repeat.
+    return df.repartition(want, F.xxhash64(*[F.col(c) for c in df.columns]))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_scan: bool = False) -> DataFrame:
