@@ -174,3 +174,29 @@ def normalize_events(ev: DataFrame, categories: DataFrame | None, known_zones: l
         "event_start_time", "event_end_time", "num_registrants", "max_registrants",
         "admission_rate_regular", "admission_rate_member", "courts",
     )
+
+
+def event_busy(ev: DataFrame, client_code=None) -> DataFrame:
+    """V4 input from event payloads: courts from the array form, times from
+    ``StartDateTime`` / ``EndDateTime`` (naive = New York); events carry no
+    cancellation."""
+    return ev.select(
+        _tenant(ev, client_code).alias("client_code"),
+        S.parse_courts_array(F.col("Courts")).alias("courts"),
+        S.parse_event_time(S.truthy_or(F.col("StartDateTime"), F.lit(None))).alias("start"),
+        S.parse_event_time(S.truthy_or(F.col("EndDateTime"), F.lit(None))).alias("end"),
+        F.lit(None).cast("string").alias("cancelled"),
+    )
+
+
+def reservation_busy(res: DataFrame, client_code=None) -> DataFrame:
+    """V4 input from reservation payloads: courts from the text form, times
+    naive = New York; only ``CancelledOn`` marks a reservation cancelled here
+    (the availability job reads that field, not ``CancelledOnUtc``)."""
+    return res.select(
+        _tenant(res, client_code).alias("client_code"),
+        S.parse_courts_text(F.col("Courts")).alias("courts"),
+        S.parse_event_time(S.truthy_or(F.col("StartTime"), F.lit(None))).alias("start"),
+        S.parse_event_time(S.truthy_or(F.col("EndTime"), F.lit(None))).alias("end"),
+        F.nullif(F.col("CancelledOn"), F.lit("")).alias("cancelled"),
+    )

@@ -118,3 +118,22 @@ def test_no_cartesian_in_overlap_plan(spark):
     busy = spark.createDataFrame([("c", "Court #1", d, d)], "client_code string, court_label string, busy_start timestamp, busy_end timestamp")
     plan = V.subtract_busy(grid, busy)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_busy_from_payloads(spark):
+    from courtgrid.sources import payloads as PL
+    from courtgrid.sources import system_a as A
+    ev = spark.createDataFrame([("c", '{"StartDateTime": "2025-01-06T05:00:00", "EndDateTime": "2025-01-06T06:00:00", '
+                                      '"Courts": [{"Label": "Court #1"}, {"Label": ""}]}')], "client_code string, payload string")
+    res = spark.createDataFrame([("c", '{"StartTime": "2025-01-06T06:00:00", "EndTime": "2025-01-06T06:30:00", '
+                                       '"Courts": "Court #1", "CancelledOnUtc": "2025-01-01T00:00:00Z"}'),
+                                 ("c", '{"StartTime": "2025-01-06T06:30:00", "EndTime": "2025-01-06T07:00:00", '
+                                       '"Courts": "Court #1", "CancelledOn": "2025-01-01T00:00:00"}')],
+                                "client_code string, payload string")
+    e = A.event_busy(PL.parse_records(ev, "payload", PL.A_EVENT, keep=("client_code",), alt_schema=PL.A_EVENT_ALT))
+    r = A.reservation_busy(PL.parse_records(res, "payload", PL.A_RESERVATION, keep=("client_code",)))
+    busy = V.busy_intervals(e, r).orderBy("busy_start").collect()
+    # event 10:00-11:00Z blocks; reservation with only CancelledOnUtc still blocks 11:00-11:30Z;
+    # the one with CancelledOn blocks nothing
+    assert [(b.court_label, b.busy_start.hour, b.busy_end.hour, b.busy_end.minute) for b in busy] == [
+        ("Court #1", 10, 11, 0), ("Court #1", 11, 11, 30)]
