@@ -81,13 +81,17 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], limit: int | None = 10) -
     return d
 
 
-def duplicate_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Every row whose key is duplicated, with the key's row count.
+def duplicate_report(df: DataFrame, keys: Sequence[str], require: Sequence[str] = ()) -> DataFrame:
+    """Every row whose key is duplicated, with the key's row count;
+    rows missing a ``require`` column are not inspected (the event report
+    only looks at events with a start time).
 
     The reference attaches the rows to their key as a list; here they stay
-    rows (a semi join on the duplicated keys), so a key repeated millions of
+    rows (a join back on the duplicated keys), so a key repeated millions of
     times never has to fit in one record.
     """
+    for c in require:
+        df = df.filter(F.col(c).isNotNull())
     d = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
     return df.join(d, list(keys), "inner")
 

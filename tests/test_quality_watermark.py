@@ -86,3 +86,10 @@ def test_pushdown_and_pruning(spark):
     # o_orderdate (between o_totalprice and o_orderpriority) is pruned from the scan
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,o_totalprice:double," \
            "o_orderpriorit" in plan
+
+
+def test_duplicate_report_requires_start(spark):
+    df = spark.createDataFrame([("e", None), ("e", None), ("f", dt.datetime(2025, 1, 1)), ("f", dt.datetime(2025, 1, 1))],
+                               "k string, t timestamp")
+    rep = Q.duplicate_report(df, ["k", "t"], require=["t"]).collect()
+    assert sorted(r.k for r in rep) == ["f", "f"]
