@@ -26,10 +26,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def _cols(xs):
-    return [F.col(x) if isinstance(x, str) else x for x in xs]
-
-
 # ---------------------------------------------------------------------------
 # First per group
 # ---------------------------------------------------------------------------

@@ -11,7 +11,7 @@ from ..sources.tables import read_table
 from . import merge_queries as MQ
 from . import payload_queries as PQ
 from .facility_queries import tenants_view
-from .model_queries import NOW, RESOLVED_SQL, _resolved
+from .model_queries import NOW, RESOLVED_SQL
 from .registry import register
 
 LOAD_TIME = "2024-02-01 00:00:00"
