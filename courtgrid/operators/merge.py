@@ -83,14 +83,31 @@ def _match(left: DataFrame, right: DataFrame, cols: Sequence[str], null_safe: bo
     return out
 
 
+def _any_null(cols: Sequence[str]) -> Column:
+    out = None
+    for c in cols:
+        cond = F.col(c).isNull()
+        out = cond if out is None else out | cond
+    return out
+
+
 def anti_existing(batch: DataFrame, current: DataFrame, cols: Sequence[str],
                   null_safe: bool = True) -> DataFrame:
     """Drop batch rows whose ``cols`` equal a current row.
 
     ``null_safe`` gives ``IS NOT DISTINCT FROM`` (nulls match); Catalyst
     turns ``<=>`` keys into ordinary join keys, so this stays a
-    sort-merge / hash anti join.
+    sort-merge / hash anti join.  With plain equality a row with a null key
+    part can never match, so such rows bypass the join (they would all hash
+    to one partition).
     """
+    if not null_safe:
+        keep = batch.filter(_any_null(cols))
+        return _anti(batch.filter(~_any_null(cols)), current, cols, False).unionByName(keep)
+    return _anti(batch, current, cols, True)
+
+
+def _anti(batch: DataFrame, current: DataFrame, cols: Sequence[str], null_safe: bool) -> DataFrame:
     right = current.select(*cols).alias("_r")
     left = batch.alias("_l")
     conds = None
@@ -107,9 +124,12 @@ def delete_keys(df: DataFrame, doomed: DataFrame, cols: Sequence[str],
     def keyed(d):
         return d.select(*[(F.lower(F.col(c)) if c in fold_case else F.col(c)).alias(f"_k{i}")
                           for i, c in enumerate(cols)], *[F.col(c) for c in d.columns])
+    k = [f"_k{i}" for i in range(len(cols))]
     left = keyed(df)
-    right = keyed(doomed).select(*[f"_k{i}" for i in range(len(cols))]).distinct()
-    return left.join(right, [f"_k{i}" for i in range(len(cols))], "left_anti").select(*df.columns)
+    right = keyed(doomed).select(*k).distinct()
+    # Null key parts never match: those rows bypass the join.
+    nulls = left.filter(_any_null(k))
+    return (left.filter(~_any_null(k)).join(right, k, "left_anti").unionByName(nulls)).select(*df.columns)
 
 
 def drop_at_or_before(df: DataFrame, ts: str, watermark) -> DataFrame:
@@ -146,6 +166,10 @@ def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
         inc = dedupe_first(inc, keys, pos)
     inc = inc.select(*[F.col(c) for c in cols if c in inc.columns], F.lit(True).alias("_in"))
     cur = current.select(*cols, F.lit(True).alias("_cur"))
+    # A null key part never conflicts: such current rows stay, such batch
+    # rows are appended, and neither goes through the join's shuffle.
+    cur_null, inc_null = cur.filter(_any_null(keys)), inc.filter(_any_null(keys))
+    cur, inc = cur.filter(~_any_null(keys)), inc.filter(~_any_null(keys))
     j = cur.alias("c").join(inc.alias("i"), _match(cur.alias("c"), inc.alias("i"), keys, False), "full_outer")
     hit = F.col("i._in").isNotNull()
     out = []
@@ -156,7 +180,9 @@ def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
             out.append(F.when(hit, F.col(f"i.{c}")).otherwise(F.col(f"c.{c}")).alias(c))
         else:
             out.append(F.col(f"c.{c}").alias(c))
-    return j.select(*out)
+    appended = inc_null.select(*[(F.col(c) if c in inc_null.columns else F.lit(None).cast(dict(current.dtypes)[c]))
+                                 .alias(c) for c in cols])
+    return j.select(*out).unionByName(cur_null.select(*cols)).unionByName(appended)
 
 
 def insert_ignore(current: DataFrame, incoming: DataFrame, keys: Sequence[str],

@@ -81,7 +81,11 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], limit: int | None = 10) -
     return d
 
 
-def duplicate_report(df: DataFrame, keys: Sequence[str], require: Sequence[str] = ()) -> DataFrame:
+JOIN_SALTS = 32
+
+
+def duplicate_report(df: DataFrame, keys: Sequence[str], require: Sequence[str] = (),
+                     salts: int = JOIN_SALTS) -> DataFrame:
     """Every row whose key is duplicated, with the key's row count;
     rows missing a ``require`` column are not inspected (the event report
     only looks at events with a start time).
@@ -89,11 +93,19 @@ def duplicate_report(df: DataFrame, keys: Sequence[str], require: Sequence[str]
     The reference attaches the rows to their key as a list; here they stay
     rows (a join back on the duplicated keys), so a key repeated millions of
     times never has to fit in one record.
+
+    The join back is salted: a duplicated key may hold a large share of all
+    rows, and AQE cannot split a join whose other side is an aggregate of
+    the same key.  Each row gets a salt from a hash of the whole row, and the
+    (small) table of duplicated keys is replicated once per salt, so a hot
+    key's rows are spread over ``salts`` tasks.
     """
     for c in require:
         df = df.filter(F.col(c).isNotNull())
     d = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
-    return df.join(d, list(keys), "inner")
+    d = d.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(int(salts) - 1))))
+    rows = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(int(salts))))
+    return rows.join(d, list(keys) + ["_salt"], "inner").drop("_salt")
 
 
 def min_max(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
