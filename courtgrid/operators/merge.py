@@ -83,6 +83,28 @@ def _match(left: DataFrame, right: DataFrame, cols: Sequence[str], null_safe: bo
     return out
 
 
+JOIN_SALTS = 32
+
+
+def salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner",
+                salts: int = JOIN_SALTS) -> DataFrame:
+    """Join a big table to a small table keyed by the same columns, spreading
+    each key of the big side over ``salts`` tasks.
+
+    AQE splits skewed partitions only when both join sides come straight
+    from a shuffle; when the small side is an aggregate of the key (a list
+    of groups, of duplicated keys, of ids to delete) a key holding a third
+    of the rows would land in one task.  Rows of the big side get a salt
+    from a hash of the whole row (deterministic on recompute); the small
+    side is replicated once per salt.  If AQE measures the small side
+    small enough it is still broadcast, and no shuffle happens at all.
+    """
+    n = int(salts)
+    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    b = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(n)))
+    return b.join(s, list(keys) + ["_salt"], how).drop("_salt")
+
+
 def _any_null(cols: Sequence[str]) -> Column:
     out = None
     for c in cols:
@@ -129,7 +151,8 @@ def delete_keys(df: DataFrame, doomed: DataFrame, cols: Sequence[str],
     right = keyed(doomed).select(*k).distinct()
     # Null key parts never match: those rows bypass the join.
     nulls = left.filter(_any_null(k))
-    return (left.filter(~_any_null(k)).join(right, k, "left_anti").unionByName(nulls)).select(*df.columns)
+    kept = salted_join(left.filter(~_any_null(k)), right, k, "left_anti")
+    return kept.unionByName(nulls).select(*df.columns)
 
 
 def drop_at_or_before(df: DataFrame, ts: str, watermark) -> DataFrame:
@@ -201,13 +224,15 @@ def replace_groups(current: DataFrame, incoming: DataFrame, group_cols: Sequence
     replaced wholesale; other groups are untouched.
 
     The group list is tiny (tenants × systems); AQE broadcasts it at run
-    time when its measured size allows, otherwise it stays a shuffle join.
+    time when its measured size allows, otherwise the salted shuffle join
+    spreads a big tenant's rows over many tasks.
     """
     groups = incoming.select(*group_cols)
     if clear_groups is not None:
         groups = groups.unionByName(clear_groups.select(*group_cols))
     groups = groups.distinct()
-    kept = current.join(groups, list(group_cols), "left_anti")
+    # A tenant can hold a large share of the table: salted anti join.
+    kept = salted_join(current, groups, list(group_cols), "left_anti")
     return kept.unionByName(incoming.select(*current.columns))
 
 

@@ -102,10 +102,10 @@ def duplicate_report(df: DataFrame, keys: Sequence[str], require: Sequence[str]
     """
     for c in require:
         df = df.filter(F.col(c).isNotNull())
+    from .merge import salted_join
+
     d = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
-    d = d.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(int(salts) - 1))))
-    rows = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(int(salts))))
-    return rows.join(d, list(keys) + ["_salt"], "inner").drop("_salt")
+    return salted_join(df, d, list(keys), "inner", salts)
 
 
 def min_max(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:

@@ -51,3 +51,19 @@ def test_hot_key_dedupe_is_limited_before_shuffle(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     # partial group limit below the exchange: the hot key leaves each map task as one row
     assert plan.index("WindowGroupLimit") < plan.rindex("WindowGroupLimit")
+
+
+def test_replace_groups_spreads_hot_tenant(spark):
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cur = _skewed(spark).select(F.when(F.col("k") == "hot", "t_hot").otherwise("t_other").alias("tenant"),
+                                    F.lit("s").alias("sys"), "pos")
+        inc = spark.createDataFrame([("t_new", "s", 1)], "tenant string, sys string, pos bigint")
+        out = M.replace_groups(cur, inc, ["tenant", "sys"])
+        assert out.count() == 30001
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "_salt" in plan
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
