@@ -83,7 +83,8 @@ def incremental(batch: DataFrame, resolved: DataFrame, ts_col: str, source_col:
     else:
         lo = wm - F.make_dt_interval(mins=F.lit(int(overlap)))
     b = batch.withColumn("_src", source_col)
-    j = b.join(resolved.withColumnRenamed("source_name", "_src"), "_src", "inner")
+    # One row per source on the right: salted so a big tenant is spread.
+    j = M.salted_join(b, resolved.withColumnRenamed("source_name", "_src"), ["_src"], "inner")
     cond = F.col(ts_col) >= lo
     if until is not None:
         cond = cond & (F.col(ts_col) <= _ts(until))
@@ -111,8 +112,8 @@ def assign_windows(records: DataFrame, resolved: DataFrame, ts_col: str, source_
     the source, not a range join.
     """
     step_us = int(days) * 86_400_000_000
-    b = records.withColumn("_src", source_col).join(
-        resolved.withColumnRenamed("source_name", "_src"), "_src", "inner")
+    b = M.salted_join(records.withColumn("_src", source_col),
+                      resolved.withColumnRenamed("source_name", "_src"), ["_src"], "inner")
     n = _ts(now)
     t = F.col(ts_col)
     inside = (t >= F.col("watermark")) & (t <= n)
