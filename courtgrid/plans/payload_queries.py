@@ -334,6 +334,7 @@ pr AS (
 SELECT pr.client_code, 'courtreserve' AS source_system,
        CASE WHEN l_linenumber <> 7 THEN CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) ELSE 'x' || CAST(l_orderkey AS VARCHAR) END AS event_id,
        CASE WHEN l_linenumber % 3 = 0 THEN 'Named ' || CAST(l_suppkey AS VARCHAR) ELSE 'Event ' || CAST(l_partkey AS VARCHAR) END AS event_name,
+       CAST(NULL AS VARCHAR) AS event_description,
        coalesce(nullif(cat.name, ''), CASE WHEN l_linenumber % 2 = 1 THEN l_returnflag END, 'Type ' || l_linestatus) AS event_type,
        {local_to_utc_sql('st', 'tz')} AS event_start_time,
        {local_to_utc_sql('st + INTERVAL 2 HOUR', 'tz')} AS event_end_time,

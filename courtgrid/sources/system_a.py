@@ -170,7 +170,9 @@ def normalize_events(ev: DataFrame, categories: DataFrame | None, known_zones: l
     else:
         etype = F.col("_fallback_type")
     return base.select(
-        "client_code", "source_system", "event_id", "event_name", etype.alias("event_type"),
+        "client_code", "source_system", "event_id", "event_name",
+        F.lit(None).cast("string").alias("event_description"),  # no description key (Q16)
+        etype.alias("event_type"),
         "event_start_time", "event_end_time", "num_registrants", "max_registrants",
         "admission_rate_regular", "admission_rate_member", "courts",
     )
