@@ -106,7 +106,7 @@ MIXING_SQL = r"""
 WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
                   substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15) AS h FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
-w AS (SELECT *, [3.0, 1.0, 2.0]::DOUBLE[][((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1] AS weight,
+w AS (SELECT *, list_extract([3, 1, 2], ((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1)::DOUBLE AS weight,
              2.0::DOUBLE * source_size AS cap FROM s),
 r AS (SELECT *, cap / weight AS full_at FROM w),
 v AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY full_at, source NULLS LAST
