@@ -20,6 +20,7 @@ import os
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -60,44 +61,58 @@ class ChunkEncoder:
                        if t.endswith("</w>") and t[:-4].rstrip('"\')')[-1:] in (".", "!", "?")]] = True
         # the tokenizer's own split of a text into words (fixed value)
         self._word = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-        self._odd = regex.compile("[\x1c-\x1f]|<\\|(?:startoftext|endoftext)\\|>")
+        # fixed values: special strings of the file, and characters that only Python takes for space
+        self._odd = ("<|startoftext|>", "<|endoftext|>", "\x1c", "\x1d", "\x1e", "\x1f")
         self._memo: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each chunk; all are encoded in a few calls and told apart by the word ends."""
         import unicodedata
 
         out: list[bytes] = []
         for at in range(0, len(chunks), 400):
             part = chunks[at:at + 400]
-            words = [len(self._word.findall(unicodedata.normalize("NFC", c).lower())) for c in part]
+            words = [1 if c.lower().isalpha() else len(self._word.findall(unicodedata.normalize("NFC", c).lower())) for c in part]
             ids = np.array(self._tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, np.int64)
             ends = np.flatnonzero(self._ends[ids]) + 1
             if len(ends) != sum(words):
                 out.extend(map(self._whole, part))
                 continue
-            cuts = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(words)))]
+            cuts = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(words)))].tolist()
             raw = ids.astype("<u4").tobytes()
-            out.extend(raw[4 * a:4 * b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+            out.extend([raw[4 * a:4 * b] for a, b in zip(cuts, cuts[1:], strict=False)])
         return out
 
+    def _learn_all(self, missing: list[str]) -> None:
+        """Remember the ids of new chunks; a full stop or comma after a letter is a word of its own."""
+        memo, tails = self._memo, {c: self._whole(c) for c in ".,"}
+        tailed = [c for c in missing if c[-1] in tails and c[-2:-1].lower().isalpha()]
+        apart = set(tailed)
+        plain = list({c[:-1] for c in tailed if c[:-1] not in memo}.union(c for c in missing if c not in apart))
+        memo.update(zip(plain, self._learn(plain), strict=True))
+        for c in tailed:
+            memo[c] = memo[c[:-1]] + tails[c[-1]]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
         memo = self._memo
-        split = [None if self._odd.search(t) else t.split() for t in texts]
-        missing = list({c for chunks in split if chunks for c in chunks if c not in memo})
+        # the tokenizer lower-cases; doing so for A-Z beforehand changes nothing and leaves fewer chunks
+        split = [None if any(x in t for x in self._odd) else t.encode().lower().decode().split() for t in texts]
+        chunks = set(chain.from_iterable(x for x in split if x))
+        missing = [c for c in chunks if c not in memo]
         if missing:
             if len(memo) + len(missing) > MEMO_CHUNKS:
                 memo.clear()
-                missing = list({c for chunks in split if chunks for c in chunks})
-            memo.update(zip(missing, self._learn(missing), strict=True))
-        out = [self._whole(t) if chunks is None else b"".join(map(memo.__getitem__, chunks))
-               for t, chunks in zip(texts, split, strict=True)]
+                missing = list(chunks)
+            self._learn_all(missing)
+        out = [self._whole(t) if x is None else b"".join(map(memo.__getitem__, x)) for t, x in zip(texts, split, strict=True)]
         for c in missing:
             if len(c) > LONG_CHUNK:
-                del memo[c]
+                memo.pop(c, None)
+                memo.pop(c[:-1], None)
         return out
 
 
