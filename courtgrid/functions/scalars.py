@@ -153,12 +153,8 @@ def normalize_phone_model(x) -> Column:
 # C5–C9 time parsing and zones
 # ---------------------------------------------------------------------------
 _ISO_DATE = r"\d{4}-\d{2}-\d{2}"
-_ISO_TIME = r"\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?"
+_ISO_TIME = r"\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?"
 _ISO_OFFSET = r"[+-]\d{2}(:?\d{2})?"
-ISO_NAIVE_RE = rf"^{_ISO_DATE}([T ]{_ISO_TIME})?$"
-ISO_AWARE_RE = rf"^{_ISO_DATE}[T ]{_ISO_TIME}{_ISO_OFFSET}$"
-
-
 ISO_ANY_RE = rf"^{_ISO_DATE}([T ]{_ISO_TIME}({_ISO_OFFSET}|Z)?)?$"
 
 
@@ -169,9 +165,13 @@ def parse_iso_utc(x, naive_zone="UTC") -> Column:
     One regex checks the ISO shape (Python's ``fromisoformat`` forms); the
     offset test is plain string work on the part after the date, and
     Spark's own cast parses 'Z', '+05', '+0530' and '+05:30'."""
-    s = _c(x)
+    # the basic form (20250106T100000Z) in the extended one; fractions cut to six digits
+    s = F.regexp_replace(_c(x), r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])", "$1-$2-$3")
+    s = F.regexp_replace(s, r"^(.{10}[T ]\d{2})(\d{2})(\d{2})(?![\d:])", "$1:$2:$3")
+    s = F.regexp_replace(s, r"^(.{10}[T ]\d{2})(\d{2})(?![\d:])", "$1:$2")
+    s = F.regexp_replace(s, r"[.,](\d{1,6})\d*", ".$1")
     zone = F.lit(naive_zone) if isinstance(naive_zone, str) else naive_zone
-    tail = F.substring(s, 11, 40)
+    tail = F.substr(s, F.lit(11))
     has_offset = s.endswith("Z") | (F.instr(tail, "+") > 0) | (F.instr(tail, "-") > 0)
     ts = s.try_cast("timestamp")  # session zone is UTC: a naive wall clock is kept as is
     return F.when(s.rlike(ISO_ANY_RE), F.when(has_offset, ts).otherwise(F.to_utc_timestamp(ts, zone)))

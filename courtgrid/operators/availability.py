@@ -124,7 +124,12 @@ def free_slots(courts: DataFrame, organizations: DataFrame, events: DataFrame |
                source_system: str = "courtreserve") -> DataFrame:
     """V1–V5 end to end, in the shape of ``facility_court_availabilities``."""
     grid = opening_grid(courts, organizations, start_date, end_date, known_zones)
-    free = subtract_busy(grid, busy_intervals(events, reservations))
+    # local days reach at most a day over the UTC ones: older and later busy rows cannot matter
+    lo = F.lit(str(start_date)).cast("timestamp") - F.expr("INTERVAL 1 DAY")
+    hi = F.lit(str(end_date)).cast("timestamp") + F.expr("INTERVAL 2 DAYS")
+    near = busy_intervals(events, reservations).filter((F.col("busy_start") < hi) & (F.col("busy_end") > lo))
+    clipped = near.withColumn("busy_start", F.greatest("busy_start", lo)).withColumn("busy_end", F.least("busy_end", hi))
+    free = subtract_busy(grid, clipped)
     return free.select(
         "client_code", F.lit(source_system).alias("source_system"),
         F.col("court_id").cast("string").alias("court_id"),

@@ -179,14 +179,18 @@ def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
 
     One full outer join on ``keys`` (plain equality: a null key part never
     conflicts, as in a unique index).  The batch is first reduced to one
-    row per key, first occurrence wins (Q27).  Columns outside
+    row per key, the first by ``pos`` or else by its columns in order (Q27);
+    batch rows with a null key part all stay.  Columns outside
     ``update_cols`` keep the current value on conflict.
     """
     cols = current.columns
     update_cols = list(update_cols) if update_cols is not None else [c for c in cols if c not in keys]
     inc = incoming
-    if pos is not None:
-        inc = dedupe_first(inc, keys, pos)
+    order = [F.col(pos).asc()] if pos is not None else [F.col(c).asc_nulls_last() for c in inc.columns]
+    # rows with a null key part are groups of their own, spread by their other columns
+    alone = F.when(_any_null(keys), F.xxhash64(*[F.col(c) for c in inc.columns]))
+    w = Window.partitionBy(*keys, alone).orderBy(*order)
+    inc = inc.withColumn("_rn", F.row_number().over(w)).filter((F.col("_rn") == 1) | _any_null(keys)).drop("_rn")
     inc = inc.select(*[F.col(c) for c in cols if c in inc.columns], F.lit(True).alias("_in"))
     cur = current.select(*cols, F.lit(True).alias("_cur"))
     # A null key part never conflicts: such current rows stay, such batch
@@ -299,8 +303,9 @@ def fill_start_from_created(df: DataFrame) -> DataFrame:
 
 
 def copy_column(target: DataFrame, source: DataFrame, key: str, col: str) -> DataFrame:
-    """``UPDATE target SET col = source.col FROM source WHERE key = key``."""
-    s = source.select(F.col(key).alias("_k"), F.col(col).alias("_v")).dropDuplicates(["_k"])
+    """``UPDATE target SET col = source.col FROM source WHERE key = key``;
+    of several source rows with a key, the least value is taken."""
+    s = source.groupBy(F.col(key).alias("_k")).agg(F.min(col).alias("_v"))
     j = target.join(s, target[key] == s["_k"], "left")
     return j.select(*[(F.coalesce("_v", target[c]) if c == col else target[c]).alias(c) for c in target.columns])
 

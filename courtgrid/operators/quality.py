@@ -102,10 +102,14 @@ def duplicate_report(df: DataFrame, keys: Sequence[str], require: Sequence[str]
     """
     for c in require:
         df = df.filter(F.col(c).isNotNull())
-    from .merge import salted_join
-
-    d = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
-    return salted_join(df, d, list(keys), "inner", salts)
+    d = df.groupBy(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("n_rows")) \
+        .filter("n_rows > 1").withColumn("_to", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    # null-safe: rows with equal null key parts are duplicates too
+    match = F.col("_salt") == F.col("_to")
+    for i, k in enumerate(keys):
+        match = match & F.col(k).eqNullSafe(F.col(f"_key{i}"))
+    rows = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts)))
+    return rows.join(d, match).select(*df.columns, "n_rows")
 
 
 def min_max(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:

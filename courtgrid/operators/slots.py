@@ -100,11 +100,11 @@ def flag_halves(h: DataFrame) -> DataFrame:
 
 
 def first_half_names(h: DataFrame) -> DataFrame:
-    """Court display names by (client, court, hour) from first-half rows (any
-    period), as the reference's name lookups join them."""
+    """Court display names by (client, system, court, hour) from first-half rows
+    (any period); the system keeps equal court ids of two systems apart (Q8)."""
     return (
         h.filter(F.col("half_position") == "first_half")
-        .select("client_code", "court_id", "hour_start",
+        .select("client_code", "source_system", "court_id", "hour_start",
                 S.court_display_name(F.col("court_name"), F.col("court_id")).alias("display_name"))
         .distinct()
     )
@@ -252,11 +252,11 @@ def orphan_slots(flagged: DataFrame, h: DataFrame) -> DataFrame:
     orphans = flagged.filter("orphan").select(
         "client_code", "source_system", "slot_start", "slot_end", "period_type", "court_id")
     names = h.select(
-        "client_code", "court_id", "slot_start", "slot_end",
+        "client_code", "source_system", "court_id", "slot_start", "slot_end",
         S.court_display_name(F.col("court_name"), F.col("court_id")).alias("display_name"),
     ).distinct()
     return (
-        orphans.join(names, ["client_code", "court_id", "slot_start", "slot_end"], "left")
+        orphans.join(names, ["client_code", "source_system", "court_id", "slot_start", "slot_end"], "left")
         .groupBy("client_code", "source_system", "slot_start", "slot_end", "period_type")
         .agg(
             F.countDistinct("court_id").alias("available_courts_count"),
@@ -294,7 +294,7 @@ class SlotPlan:
         self.h = flagged
         names = first_half_names(self.h)
         fh_named = full_hour_courts(self.flagged).join(
-            names, ["client_code", "court_id", "hour_start"], "left")
+            names, ["client_code", "source_system", "court_id", "hour_start"], "left")
         # The full-hour courts feed the hour slots and both sides of the
         # two-hour pairing; materialising this (much smaller) set keeps those
         # five readers off the flagged halves.

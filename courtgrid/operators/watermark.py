@@ -74,7 +74,8 @@ def incremental(batch: DataFrame, resolved: DataFrame, ts_col: str, source_col:
                 overlap: str = "none", until=None) -> DataFrame:
     """Rows of ``batch`` at or after the source's watermark,
     re-reading an overlap: ``'midnight'`` (back to the watermark's day) or a
-    number of minutes (members: 90); ``until`` bounds the window (now)."""
+    number of minutes (members: 90); ``until`` bounds the window (now).  Rows
+    without a time are kept: they cannot be shown to be old."""
     wm = F.col("watermark")
     if overlap == "midnight":
         lo = F.date_trunc("day", wm)
@@ -88,7 +89,7 @@ def incremental(batch: DataFrame, resolved: DataFrame, ts_col: str, source_col:
     cond = F.col(ts_col) >= lo
     if until is not None:
         cond = cond & (F.col(ts_col) <= _ts(until))
-    return j.filter(cond).drop("_src", "watermark")
+    return j.filter(cond | F.col(ts_col).isNull()).drop("_src", "watermark")
 
 
 def load_windows(resolved: DataFrame, now, days: int) -> DataFrame:

@@ -104,11 +104,16 @@ def reservations_load(spark: SparkSession, landing: str, snapshot: str, watermar
 def availability_load(spark: SparkSession, courts: DataFrame, organizations: DataFrame, busy: DataFrame,
                       snapshot: str, start_date: str, end_date: str, source_system: str = "courtreserve") -> int:
     """§3.3 as one job: free slots of every tenant, replacing each tenant's
-    rows; tenants processed with no free slot are cleared too (Q10)."""
+    rows; tenants processed with no free slot are cleared too (Q10).  A tenant is
+    processed if it is of the system and has opening hours (a grid row) and a
+    court; the rows of all others are left alone."""
     zones = S.known_zone_names(spark)
+    if "source_system_code" in organizations.columns:
+        organizations = organizations.filter(F.col("source_system_code") == source_system)
     free = V.free_slots(courts, organizations, None, busy, start_date, end_date, zones, source_system)
     current = SN.read_latest(spark, snapshot, schema=free.schema)
-    processed = organizations.select("client_code", F.lit(source_system).alias("source_system"))
+    grid = V.opening_grid(courts, organizations, start_date, end_date, zones)
+    processed = grid.select("client_code", F.lit(source_system).alias("source_system")).distinct()
     nxt = M.replace_groups(current, free, ["client_code", "source_system"], clear_groups=processed)
     return SN.write_next(nxt, snapshot, partition_by=["client_code", "source_system"])
 
@@ -171,7 +176,7 @@ def main(argv=None) -> None:
     else:
         names = ["organizations", "courts", "members_raw", "reservations_raw", "facility_events_raw",
                  "facility_court_availabilities"]
-        raw = {n: spark.read.parquet(os.path.join(a.raw, n)) for n in names if os.path.exists(os.path.join(a.raw, n))}
+        raw = {n: spark.read.parquet(os.path.join(a.raw, n)) for n in names if SN.exists(spark, os.path.join(a.raw, n))}
         print(model_build(spark, raw, a.out, a.as_of))
 
 

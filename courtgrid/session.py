@@ -9,6 +9,7 @@ run time from real sizes.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -19,9 +20,6 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Dynamic partition overwrite makes replace-by-group (M5/M6) touch only
-    # the (client_code, source_system) partitions present in the batch.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 # Settings applied when the session is built (static confs).
 BUILD_CONF = {
@@ -63,6 +61,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}: executors do not see local ones")
         configured = tempfile.mkdtemp(prefix="courtgrid-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)

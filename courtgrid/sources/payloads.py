@@ -87,15 +87,21 @@ def envelope_b(record_schema: str) -> str:
 
 
 def read_landed(spark: SparkSession, path: str, schema: str, multiline: bool = True) -> DataFrame:
-    """Landed responses with an explicit schema, plus ``_file``."""
+    """Landed responses with an explicit schema, plus ``_file``.
+
+    A response that is not JSON becomes a row of nulls: its status flag is null,
+    so :func:`split_status_a` sends it to the rejects."""
     return (spark.read.schema(schema).option("multiLine", multiline).json(path)
             .withColumn("_file", F.col("_metadata.file_path")))
 
 
 def split_status_a(env: DataFrame) -> tuple[DataFrame, DataFrame]:
     """S3: (good responses, rejected responses).  A response is rejected when
-    ``ErrorMessage`` is set or ``IsSuccessStatusCode`` is false."""
-    bad = (F.coalesce(F.col("ErrorMessage"), F.lit("")) != "") | (F.col("IsSuccessStatusCode") == F.lit(False))
+    ``ErrorMessage`` is set or ``IsSuccessStatusCode`` is not true: an absent or
+    null flag, or an unreadable response, is a reject too.  Every response is in
+    one of the two."""
+    bad = ((F.coalesce(F.col("ErrorMessage"), F.lit("")) != "")
+           | ~F.coalesce(F.col("IsSuccessStatusCode"), F.lit(False)))
     return env.filter(~bad), env.filter(bad)
 
 
@@ -117,27 +123,21 @@ def unwrap_b(env: DataFrame, keep=("_file",)) -> DataFrame:
     return env.select(*keep, F.posexplode("items").alias("_pos", "_rec")).select(*keep, "_pos", "_rec.*")
 
 
-def parse_records(text_df: DataFrame, text_col: str, schema: str, keep=(), alt_schema: str | None = None,
-                  spread_input: bool = True) -> DataFrame:
+def parse_records(text_df: DataFrame, text_col: str, schema: str, keep=(), alt_schema: str | None = None) -> DataFrame:
     """Records held as JSON text in a column (e.g. a landed table) -> struct
     columns; keys that clash by case go to the ``_alt`` struct.
 
     The parse runs inside a generator (``inline`` of a one-element array).
     Filters on the parsed fields cannot be pushed below a generator, so
     Catalyst cannot copy ``from_json`` into every pushed-down predicate:
-    each record is decoded exactly once.  JSON decoding is per-row CPU work,
-    so an input with fewer splits than cores is spread first
-    (:func:`tables.spread`; a no-op on big inputs)."""
-    from .tables import spread
-
-    src = spread(text_df) if spread_input else text_df
+    each record is decoded exactly once."""
     if not alt_schema:
-        return src.select(*keep, F.inline(F.array(F.from_json(F.col(text_col), schema))))
+        return text_df.select(*keep, F.inline(F.array(F.from_json(F.col(text_col), schema))))
     main = T.StructType.fromDDL(schema)
     alt = T.StructType.fromDDL(alt_schema)
     both = T.StructType(main.fields + alt.fields)
     renamed = T.StructType(main.fields + [T.StructField(f"_alt_{f.name}", f.dataType) for f in alt.fields])
-    out = src.select(*keep, F.inline(F.array(F.from_json(F.col(text_col), both).cast(renamed))))
+    out = text_df.select(*keep, F.inline(F.array(F.from_json(F.col(text_col), both).cast(renamed))))
     return out.select(*keep, *[f.name for f in main.fields],
                       F.struct(*[F.col(f"_alt_{f.name}").alias(f.name) for f in alt.fields]).alias("_alt"))
 

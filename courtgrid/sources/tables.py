@@ -23,32 +23,11 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan over the cluster when it yields fewer partitions than
-    there are cores (a small table stored as one row group is read by one
-    task).  Big inputs already have more splits than cores and are returned
-    unchanged, so no shuffle is added at scale.  The split count is known
-    at planning time; no job runs."""
-    if df.isStreaming:
-        return df  # micro-batches are sized by the source options instead
-    spark = df.sparkSession
-    try:
-        want = min_partitions or spark.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # pragma: no cover - no RDD access (Spark Connect)
-        return df
-    if have >= want:
-        return df
-    # Hash of the whole row: deterministic on recompute without the local
-    # sort a round-robin repartition needs, and even unless rows repeat.
-    return df.repartition(want, F.xxhash64(*[F.col(c) for c in df.columns]))
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread_scan: bool = False) -> DataFrame:
     """One table of a data folder; timestamps become UTC instants.
 
-    ``spread_scan`` is for plans whose first stage is per-row CPU work
-    (JSON encode/decode) rather than a shuffle; see :func:`spread`.
+    ``spread_scan`` deals the rows to all cores by a hash of the row, whatever
+    the size: for fixtures that encode small one-split tables as JSON.
 
     The test tables store ``TIMESTAMP_NTZ``; under the UTC session a cast to
     ``TIMESTAMP`` keeps the wall clock and gives an instant, which the zone
@@ -56,7 +35,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread_scan: bool =
     """
     df = spark.read.parquet(table_path(sf_dir, name))
     if spread_scan:
-        df = spread(df)
+        df = df.repartition(spark.sparkContext.defaultParallelism, F.xxhash64(*[F.col(c) for c in df.columns]))
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, T.TimestampNTZType):
@@ -88,9 +67,10 @@ def as_ntz(df: DataFrame) -> DataFrame:
 def write_table(df: DataFrame, path: str, partition_by=None, mode: str = "overwrite",
                 sort_within=None) -> None:
     """Model sink.  ``sort_within`` orders rows inside each file (O1)
-    instead of a global sort, which would need a range shuffle."""
+    instead of a global sort, which would need a range shuffle.  An overwrite
+    replaces the whole table, also partitions that got no rows this time."""
     out = df.sortWithinPartitions(*sort_within) if sort_within else df
-    writer = out.write.mode(mode)
+    writer = out.write.mode(mode).option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
