@@ -25,12 +25,12 @@ from pyspark.sql import functions as F
 from .blocks import compare_groups, components, first_shared, spread_blocks
 from .common import materialise
 
-TREES = 8
+TREES = 6
 LEAF = 256             # aimed distinct vectors of a leaf before spill
 SAMPLE = 16_384        # most vectors that the splits are fitted on (every vector is indexed and compared)
 SPILL = 0.5            # margin on either side of a split, in standard deviations of a linked pair's distance along it
 MIN_FIT = 32           # sampled vectors of a node from which its split is fitted
-BLOCK = 384
+BLOCK = 768
 
 
 class Forest:
@@ -164,11 +164,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, block: int = BL
 
     def linked(key: tuple, cols: dict[str, list]):
         x = np.array([np.frombuffer(v, np.float64) for v in cols["vector"]])
-        found = np.triu(x @ x.T >= threshold, 1)
-        if key[1] != key[2]:
+        if key[1] == key[2]:
+            left, right = np.nonzero(np.triu(x @ x.T >= threshold, 1))
+        else:  # two blocks: only across them
             side = np.array(cols["own_block"])
-            found &= side[:, None] != side[None, :]
-        left, right = np.nonzero(found)
+            one, two = np.flatnonzero(side == key[1]), np.flatnonzero(side == key[2])
+            left, right = np.nonzero(x[one] @ x[two].T >= threshold)
+            left, right = one[left], two[right]
         return left, right, first_shared(cols["leaves"], key[0], left, right) if len(left) else np.zeros(0, bool)
 
     partial = materialise(compare_groups(groups, ["leaf", "bi", "bj"], linked), "vec-links")
