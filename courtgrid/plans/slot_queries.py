@@ -10,9 +10,10 @@ row counts only (and against brute force in ``tests/``).
 Derived inputs (same formula on both sides):
 
 * ``avail`` from ``events``: one 30-minute opening per distinct
-  (tenant, court, slot, period) — tenant by event-id parity, court
-  ``user_id % 4``, slot = 30-minute floor of ``ts``, period 'PEAK' for
-  click/view, else null.
+  (tenant, system, court, slot, period).  32 users make a tenant, so the
+  number of tenants grows with the data; every tenant is on both booking
+  systems with four courts each, whose names differ by system (Q8); slot =
+  30-minute floor of ``ts``, period 'PEAK' for click/view, else null.
 * ``bookings`` from ``orders``; ``tenants`` from ``nation``.
 """
 
@@ -30,15 +31,15 @@ AS_OF = "2024-01-01"
 HORIZON_DAYS = 30
 
 
-
-
 AVAIL_SQL = """
 avail AS (
   SELECT DISTINCT
-    CASE WHEN event_id % 2 = 0 THEN 'even' ELSE 'odd' END AS client_code,
-    CASE WHEN event_id % 2 = 0 THEN 'courtreserve' ELSE 'podplay' END AS source_system,
+    'tenant_' || CAST(user_id // 32 AS VARCHAR) AS client_code,
+    CASE WHEN user_id // 4 % 2 = 0 THEN 'courtreserve' ELSE 'podplay' END AS source_system,
     CAST(user_id % 4 AS VARCHAR) AS court_id,
-    CASE WHEN user_id % 4 = 3 THEN NULL ELSE 'Court #' || CAST(user_id % 4 + 1 AS VARCHAR) END AS court_name,
+    CASE WHEN user_id % 4 = 3 THEN NULL
+         WHEN user_id // 4 % 2 = 0 THEN 'Court #' || CAST(user_id % 4 + 1 AS VARCHAR)
+         ELSE 'Bay ' || CAST(user_id % 4 + 1 AS VARCHAR) END AS court_name,
     time_bucket(INTERVAL 30 MINUTE, ts) AS slot_start,
     time_bucket(INTERVAL 30 MINUTE, ts) + INTERVAL 30 MINUTE AS slot_end,
     CASE WHEN event_type IN ('click', 'view') THEN 'PEAK' END AS period_type
@@ -49,15 +50,15 @@ avail AS (
 def avail_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``facility_court_availabilities`` stand-in derived from ``events``."""
     ev = read_table(spark, sf_dir, "events")
-    even = (F.col("event_id") % 2) == 0
+    first_system = F.expr("user_id div 4") % 2 == 0
     court = F.col("user_id") % 4
     slot = F.timestamp_seconds(F.floor(F.unix_seconds("ts") / 1800) * 1800)
     return ev.select(
-        F.when(even, "even").otherwise("odd").alias("client_code"),
-        F.when(even, "courtreserve").otherwise("podplay").alias("source_system"),
+        F.concat(F.lit("tenant_"), F.expr("user_id div 32").cast("string")).alias("client_code"),
+        F.when(first_system, "courtreserve").otherwise("podplay").alias("source_system"),
         court.cast("string").alias("court_id"),
-        F.when(court == 3, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("Court #"), (court + 1).cast("string"))).alias("court_name"),
+        F.when(court != 3, F.concat(F.when(first_system, "Court #").otherwise("Bay "), (court + 1).cast("string")))
+        .alias("court_name"),
         slot.alias("slot_start"),
         (slot + F.expr("INTERVAL 30 MINUTES")).alias("slot_end"),
         F.when(F.col("event_type").isin("click", "view"), "PEAK").alias("period_type"),
@@ -67,141 +68,63 @@ def avail_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Slot composition
 # ---------------------------------------------------------------------------
+# The expected rows come from one grouped pass over the court-hours instead of
+# the operator's window flags and joins: ``mask`` holds which halves of a
+# court-hour are open (1 first, 2 second), and ``span`` which hours of a
+# two-hour window a court is open for (1 first, 2 second).
 SLOT_BASE_SQL = f"""
 WITH {AVAIL_SQL.strip()},
-base AS (
-  SELECT * FROM avail
-  WHERE slot_start >= TIMESTAMP '{AS_OF}' AND slot_start <= TIMESTAMP '{AS_OF}' + INTERVAL {HORIZON_DAYS} DAY
-    AND CAST(round(epoch(slot_end - slot_start) / 60) AS BIGINT) = 30
-),
-half AS (
-  SELECT client_code, source_system, court_id, court_name, slot_start, slot_end,
-         coalesce(period_type, 'NULL') AS period_type,
-         date_trunc('hour', slot_start) AS hour_start,
-         CASE minute(slot_start) WHEN 0 THEN 'first_half' WHEN 30 THEN 'second_half' ELSE 'other' END AS half_position
-  FROM base
-),
-fhc AS (
-  SELECT DISTINCT f1.client_code, f1.source_system, f1.court_id, f1.hour_start, f1.period_type
-  FROM half f1 JOIN half f2
-    ON f1.client_code = f2.client_code AND f1.source_system = f2.source_system
-   AND f1.court_id = f2.court_id AND f1.hour_start = f2.hour_start AND f1.period_type = f2.period_type
-   AND f1.half_position = 'first_half' AND f2.half_position = 'second_half' AND f1.slot_end = f2.slot_start
-),
-names1 AS (
-  SELECT DISTINCT client_code, court_id, hour_start, coalesce(court_name, 'Court ' || court_id) AS display_name
-  FROM half WHERE half_position = 'first_half'
+court_hour AS (
+  SELECT client_code, source_system, coalesce(period_type, 'NULL') AS period_type, court_id,
+         min(coalesce(court_name, 'Court ' || court_id)) AS label, date_trunc('hour', slot_start) AS hr,
+         bit_or(CASE WHEN minute(slot_start) < 30 THEN 1 ELSE 2 END) AS mask
+  FROM avail
+  WHERE slot_start BETWEEN TIMESTAMP '{AS_OF}' AND TIMESTAMP '{AS_OF}' + INTERVAL {HORIZON_DAYS} DAY
+  GROUP BY ALL
 ),
-fhn AS (
-  SELECT f.*, n.display_name FROM fhc f LEFT JOIN names1 n
-    ON f.client_code = n.client_code AND f.court_id = n.court_id AND f.hour_start = n.hour_start
+one_hour AS (
+  SELECT client_code, source_system, period_type, hr AS slot_start, hr + INTERVAL 1 HOUR AS slot_end,
+         count(*) AS available_courts_count, string_agg(DISTINCT label, ', ' ORDER BY label) AS available_courts
+  FROM court_hour WHERE mask = 3 GROUP BY ALL
 ),
-hour_av AS (
-  SELECT client_code, source_system, hour_start AS slot_start, hour_start + INTERVAL 1 HOUR AS slot_end,
-         count(DISTINCT court_id) AS available_courts_count,
-         string_agg(DISTINCT display_name, ', ' ORDER BY display_name) AS available_courts,
-         period_type
-  FROM fhn GROUP BY client_code, source_system, hour_start, period_type
+span AS (
+  SELECT client_code, source_system, period_type, court_id, label, hr - INTERVAL (back) HOUR AS win,
+         bit_or(back + 1) AS span
+  FROM court_hour, (VALUES (0), (1)) AS b(back)
+  WHERE mask = 3 GROUP BY ALL
 ),
-detail AS (
-  SELECT h1.client_code, h1.source_system, h1.slot_start, h1.period_type, a.court_id, a.display_name,
-         EXISTS (SELECT 1 FROM fhc b WHERE b.client_code = h1.client_code AND b.source_system = h1.source_system
-                 AND b.hour_start = h2.slot_start AND b.period_type = h1.period_type AND b.court_id = a.court_id) AS both_hours,
-         'hour1' AS which_hour, h1.slot_start AS ws, h1.slot_end AS we
-  FROM hour_av h1
-  JOIN hour_av h2 ON h1.client_code = h2.client_code AND h1.source_system = h2.source_system
-                 AND h1.period_type = h2.period_type AND h1.slot_end = h2.slot_start
-  JOIN fhn a ON a.client_code = h1.client_code AND a.source_system = h1.source_system
-            AND a.hour_start = h1.slot_start AND a.period_type = h1.period_type
-  UNION
-  SELECT h1.client_code, h1.source_system, h1.slot_start, h1.period_type, a.court_id, a.display_name,
-         false AS both_hours, 'hour2' AS which_hour, h2.slot_start AS ws, h2.slot_end AS we
-  FROM hour_av h1
-  JOIN hour_av h2 ON h1.client_code = h2.client_code AND h1.source_system = h2.source_system
-                 AND h1.period_type = h2.period_type AND h1.slot_end = h2.slot_start
-  JOIN fhn a ON a.client_code = h2.client_code AND a.source_system = h2.source_system
-            AND a.hour_start = h2.slot_start AND a.period_type = h2.period_type
-  WHERE NOT EXISTS (SELECT 1 FROM fhc b WHERE b.client_code = h1.client_code AND b.source_system = h1.source_system
-                    AND b.hour_start = h1.slot_start AND b.period_type = h1.period_type AND b.court_id = a.court_id)
-),
-formatted AS (
-  SELECT *, CASE WHEN both_hours THEN display_name
-                 ELSE display_name || ' (' || {_tl('ws')} || '-' || {_tl('we')} || ')' END AS court_display
-  FROM detail
-),
-dedup AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY client_code, source_system, slot_start, period_type, court_id
-                                 ORDER BY both_hours DESC, court_display) AS rn
-    FROM formatted) WHERE rn = 1
-),
-partial AS (
-  SELECT client_code, source_system, slot_start, period_type,
-         sum(CASE WHEN NOT both_hours AND which_hour = 'hour1' THEN 1 ELSE 0 END) AS p1,
-         sum(CASE WHEN NOT both_hours AND which_hour = 'hour2' THEN 1 ELSE 0 END) AS p2
-  FROM dedup GROUP BY client_code, source_system, slot_start, period_type
+span_text AS (
+  SELECT *, label || CASE span
+    WHEN 1 THEN ' (' || {_tl('win')} || '-' || {_tl('(win + INTERVAL 1 HOUR)')} || ')'
+    WHEN 2 THEN ' (' || {_tl('(win + INTERVAL 1 HOUR)')} || '-' || {_tl('(win + INTERVAL 2 HOUR)')} || ')'
+    ELSE '' END AS shown
+  FROM span
 ),
 two_hour AS (
-  SELECT d.client_code, d.source_system, d.slot_start, d.slot_start + INTERVAL 2 HOUR AS slot_end,
-         least(h1.available_courts_count, h2.available_courts_count) AS available_courts_count,
-         string_agg(d.court_display, ', ' ORDER BY d.court_display) AS available_courts,
-         d.period_type
-  FROM dedup d
-  JOIN partial p ON d.client_code = p.client_code AND d.source_system = p.source_system
-                AND d.slot_start = p.slot_start AND d.period_type = p.period_type
-  JOIN hour_av h1 ON d.client_code = h1.client_code AND d.source_system = h1.source_system
-                 AND d.slot_start = h1.slot_start AND d.period_type = h1.period_type
-  JOIN hour_av h2 ON d.client_code = h2.client_code AND d.source_system = h2.source_system
-                 AND d.slot_start + INTERVAL 1 HOUR = h2.slot_start AND d.period_type = h2.period_type
-  WHERE d.both_hours OR (d.which_hour = 'hour1' AND p.p2 > 0) OR (d.which_hour = 'hour2' AND p.p1 > 0)
-  GROUP BY d.client_code, d.source_system, d.slot_start, d.period_type,
-           h1.available_courts_count, h2.available_courts_count
+  SELECT client_code, source_system, period_type, win AS slot_start, win + INTERVAL 2 HOUR AS slot_end,
+         least(count(*) FILTER (span <> 2), count(*) FILTER (span <> 1)) AS available_courts_count,
+         CASE WHEN count(DISTINCT span) FILTER (span <> 3) = 2 THEN string_agg(shown, ', ' ORDER BY shown)
+              ELSE string_agg(shown, ', ' ORDER BY shown) FILTER (span = 3) END AS available_courts
+  FROM span_text GROUP BY ALL
+  HAVING bit_or(span) = 3 AND available_courts IS NOT NULL
 ),
-lone_first AS (
-  SELECT * FROM half f WHERE half_position = 'first_half' AND NOT EXISTS (
-    SELECT 1 FROM half s WHERE s.client_code = f.client_code AND s.source_system = f.source_system
-      AND s.court_id = f.court_id AND s.hour_start = f.hour_start AND s.period_type = f.period_type
-      AND s.half_position = 'second_half')
-),
-lone_second AS (
-  SELECT * FROM half s WHERE half_position = 'second_half' AND NOT EXISTS (
-    SELECT 1 FROM half f WHERE f.client_code = s.client_code AND f.source_system = s.source_system
-      AND f.court_id = s.court_id AND f.hour_start = s.hour_start AND f.period_type = s.period_type
-      AND f.half_position = 'first_half')
+lone AS (
+  SELECT client_code, source_system, period_type, hr,
+         list(label || ' (' || {_tl('hr')} || '-' || {_tl('(hr + INTERVAL 30 MINUTE)')} || ')') FILTER (mask = 1) AS early,
+         list(label || ' (' || {_tl('(hr + INTERVAL 30 MINUTE)')} || '-' || {_tl('(hr + INTERVAL 1 HOUR)')} || ')')
+           FILTER (mask = 2) AS late
+  FROM court_hour GROUP BY ALL
 ),
 cross_court AS (
-  SELECT a.client_code, a.source_system, a.hour_start AS slot_start, a.hour_start + INTERVAL 1 HOUR AS slot_end,
-         CAST(1 AS BIGINT) AS available_courts_count,
-         coalesce(a.court_name, 'Court ' || a.court_id) || ' (' || {_tl('a.slot_start')} || '-' || {_tl('a.slot_end')} || '), '
-           || coalesce(b.court_name, 'Court ' || b.court_id) || ' (' || {_tl('b.slot_start')} || '-' || {_tl('b.slot_end')} || ')'
-           AS available_courts,
-         a.period_type
-  FROM lone_first a JOIN lone_second b
-    ON a.client_code = b.client_code AND a.source_system = b.source_system AND a.period_type = b.period_type
-   AND a.hour_start = b.hour_start AND a.court_id <> b.court_id AND a.slot_end = b.slot_start
-),
-orphan_rows AS (
-  SELECT f.client_code, f.source_system, f.slot_start, f.slot_end, f.period_type, f.court_id FROM half f
-  WHERE f.half_position = 'first_half' AND NOT EXISTS (
-    SELECT 1 FROM half s WHERE s.client_code = f.client_code AND s.source_system = f.source_system
-      AND s.court_id = f.court_id AND s.hour_start = f.hour_start AND s.period_type = f.period_type
-      AND s.half_position = 'second_half' AND f.slot_end = s.slot_start)
-  UNION ALL
-  SELECT s.client_code, s.source_system, s.slot_start, s.slot_end, s.period_type, s.court_id FROM half s
-  WHERE s.half_position = 'second_half' AND NOT EXISTS (
-    SELECT 1 FROM half f WHERE f.client_code = s.client_code AND f.source_system = s.source_system
-      AND f.court_id = s.court_id AND f.hour_start = s.hour_start AND f.period_type = s.period_type
-      AND f.half_position = 'first_half' AND f.slot_end = s.slot_start)
+  SELECT client_code, source_system, period_type, hr AS slot_start, hr + INTERVAL 1 HOUR AS slot_end,
+         1 AS available_courts_count, e.t || ', ' || l.t AS available_courts
+  FROM lone, unnest(early) AS e(t), unnest(late) AS l(t)
 ),
 orphan AS (
-  SELECT o.client_code, o.source_system, o.slot_start, o.slot_end,
-         count(DISTINCT o.court_id) AS available_courts_count,
-         string_agg(DISTINCT coalesce(h.court_name, 'Court ' || o.court_id), ', '
-                    ORDER BY coalesce(h.court_name, 'Court ' || o.court_id)) AS available_courts,
-         o.period_type
-  FROM orphan_rows o LEFT JOIN half h
-    ON o.client_code = h.client_code AND o.court_id = h.court_id AND o.slot_start = h.slot_start AND o.slot_end = h.slot_end
-  GROUP BY o.client_code, o.source_system, o.slot_start, o.slot_end, o.period_type
+  SELECT client_code, source_system, period_type, hr + INTERVAL (30 * (mask - 1)) MINUTE AS slot_start,
+         hr + INTERVAL (30 * mask) MINUTE AS slot_end,
+         count(*) AS available_courts_count, string_agg(DISTINCT label, ', ' ORDER BY label) AS available_courts
+  FROM court_hour WHERE mask < 3 GROUP BY ALL
 )"""
 
 
@@ -213,14 +136,11 @@ FROM {cte}""")
 
 
 SLOTS_ALL_SQL = SLOT_BASE_SQL + f""",
-all_slots AS (
-  SELECT client_code, source_system, slot_start, slot_end, available_courts_count, available_courts, period_type, 'two_hour' AS slot_type FROM two_hour
-  UNION ALL
-  SELECT client_code, source_system, slot_start, slot_end, available_courts_count, available_courts, period_type, 'hour' FROM hour_av
-  UNION ALL
-  SELECT client_code, source_system, slot_start, slot_end, available_courts_count, available_courts, period_type, 'cross_court_hour' FROM cross_court
-  UNION ALL
-  SELECT client_code, source_system, slot_start, slot_end, available_courts_count, available_courts, period_type, 'orphan' FROM orphan
+every_kind AS (
+  SELECT *, 'hour' AS slot_type FROM one_hour
+  UNION ALL BY NAME SELECT *, 'orphan' AS slot_type FROM orphan
+  UNION ALL BY NAME SELECT *, 'two_hour' AS slot_type FROM two_hour
+  UNION ALL BY NAME SELECT *, 'cross_court_hour' AS slot_type FROM cross_court
 )
 SELECT {_skey('client_code', _pgts('slot_start'), _pgts('slot_end'), 'slot_type')} AS availability_pk,
        {_skey('client_code', 'source_system', _pgts('slot_start'), _pgts('slot_end'), 'slot_type', 'period_type', 'available_courts')} AS slot_pk,
@@ -233,7 +153,7 @@ SELECT {_skey('client_code', _pgts('slot_start'), _pgts('slot_end'), 'slot_type'
          ELSE CAST(CAST(round(epoch(slot_end - slot_start) / 60) AS BIGINT) AS VARCHAR) || ' minutes' END AS duration_display,
        CASE WHEN period_type = 'NULL' THEN NULL ELSE period_type END AS period_type,
        slot_type
-FROM all_slots"""
+FROM every_kind"""
 
 
 SLOT_MATERIALIZE = "checkpoint"
@@ -247,7 +167,7 @@ def _unsentinel(df: DataFrame) -> DataFrame:
     return df.withColumn("period_type", F.when(F.col("period_type") != "NULL", F.col("period_type")))
 
 
-@register("slots_hour", _slot_sql("hour_av"))
+@register("slots_hour", _slot_sql("one_hour"))
 def slots_hour(spark, sf_dir):
     return _unsentinel(_slot_plan(spark, sf_dir).hour())
 
