@@ -73,16 +73,6 @@ def stage_dedupe(df: DataFrame, keys: Sequence[str], updated: str, loaded: str,
 # ---------------------------------------------------------------------------
 # Anti joins
 # ---------------------------------------------------------------------------
-def _match(left: DataFrame, right: DataFrame, cols: Sequence[str], null_safe: bool) -> Column:
-    conds = []
-    for c in cols:
-        conds.append(left[c].eqNullSafe(right[c]) if null_safe else left[c] == right[c])
-    out = conds[0]
-    for c in conds[1:]:
-        out = out & c
-    return out
-
-
 JOIN_SALTS = 32
 
 
@@ -120,23 +110,31 @@ def anti_existing(batch: DataFrame, current: DataFrame, cols: Sequence[str],
     ``null_safe`` gives ``IS NOT DISTINCT FROM`` (nulls match); Catalyst
     turns ``<=>`` keys into ordinary join keys, so this stays a
     sort-merge / hash anti join.  With plain equality a row with a null key
-    part can never match, so such rows bypass the join (they would all hash
-    to one partition).
+    part can never match; such rows are spread by a hash of the row, in the
+    same pass (they would all hash to one partition).
     """
-    if not null_safe:
-        keep = batch.filter(_any_null(cols))
-        return _anti(batch.filter(~_any_null(cols)), current, cols, False).unionByName(keep)
-    return _anti(batch, current, cols, True)
+    return _anti(batch, current, cols, null_safe)
+
+
+def _spread(keys: Sequence[str], columns: Sequence[str]) -> Column:
+    """An extra join key: 0, or for a row with a null key part, which plain
+    equality never matches, a hash of the row that is never 0, so that such
+    rows spread over the tasks instead of meeting in one."""
+    return F.when(_any_null(keys), F.xxhash64(*[F.col(c) for c in columns]).bitwiseOR(F.lit(1).cast("long"))) \
+        .otherwise(F.lit(0).cast("long"))
 
 
 def _anti(batch: DataFrame, current: DataFrame, cols: Sequence[str], null_safe: bool) -> DataFrame:
-    right = current.select(*cols).alias("_r")
-    left = batch.alias("_l")
-    conds = None
+    right, left = current.select(*cols), batch
+    conds = F.lit(True)
+    if not null_safe:
+        left = left.withColumn("_spread", _spread(cols, batch.columns))
+        right = right.withColumn("_spread", F.lit(0).cast("long"))
+        conds = F.col("_l._spread") == F.col("_r._spread")
     for c in cols:
-        cond = F.col(f"_l.{c}").eqNullSafe(F.col(f"_r.{c}")) if null_safe else F.col(f"_l.{c}") == F.col(f"_r.{c}")
-        conds = cond if conds is None else conds & cond
-    return left.join(right, conds, "left_anti").select(*[F.col(f"_l.{c}") for c in batch.columns])
+        a, b = F.col(f"_l.{c}"), F.col(f"_r.{c}")
+        conds = conds & (a.eqNullSafe(b) if null_safe else a == b)
+    return left.alias("_l").join(right.alias("_r"), conds, "left_anti").select(*[F.col(f"_l.{c}") for c in batch.columns])
 
 
 def delete_keys(df: DataFrame, doomed: DataFrame, cols: Sequence[str],
@@ -147,12 +145,9 @@ def delete_keys(df: DataFrame, doomed: DataFrame, cols: Sequence[str],
         return d.select(*[(F.lower(F.col(c)) if c in fold_case else F.col(c)).alias(f"_k{i}")
                           for i, c in enumerate(cols)], *[F.col(c) for c in d.columns])
     k = [f"_k{i}" for i in range(len(cols))]
-    left = keyed(df)
-    right = keyed(doomed).select(*k).distinct()
-    # Null key parts never match: those rows bypass the join.
-    nulls = left.filter(_any_null(k))
-    kept = salted_join(left.filter(~_any_null(k)), right, k, "left_anti")
-    return kept.unionByName(nulls).select(*df.columns)
+    # The id list is as large as its batch: one plain anti join, whose sides
+    # come straight from the shuffle, so AQE can split a hot key.
+    return _anti(keyed(df), keyed(doomed).select(*k), k, null_safe=False).select(*df.columns)
 
 
 def drop_at_or_before(df: DataFrame, ts: str, watermark) -> DataFrame:
@@ -174,42 +169,43 @@ def split_missing_keys(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, D
 # Upsert, insert-ignore, replace-by-group (M3–M7)
 # ---------------------------------------------------------------------------
 def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
-           update_cols: Sequence[str] | None = None, pos: str | None = None) -> DataFrame:
+           update_cols: Sequence[str] | None = None, pos: str | None = None,
+           batch_unique: bool = False) -> DataFrame:
     """M3: ``INSERT .. ON CONFLICT (keys) DO UPDATE SET update_cols``.
 
     One full outer join on ``keys`` (plain equality: a null key part never
     conflicts, as in a unique index).  The batch is first reduced to one
-    row per key, the first by ``pos`` or else by its columns in order (Q27);
-    batch rows with a null key part all stay.  Columns outside
-    ``update_cols`` keep the current value on conflict.
+    row per key, the first by ``pos`` or else by its columns in order (Q27),
+    unless the caller states that it is so already (``batch_unique``); batch
+    rows with a null key part all stay.  Columns outside ``update_cols`` keep
+    the current value on conflict.
     """
     cols = current.columns
     update_cols = list(update_cols) if update_cols is not None else [c for c in cols if c not in keys]
     inc = incoming
-    order = [F.col(pos).asc()] if pos is not None else [F.col(c).asc_nulls_last() for c in inc.columns]
-    # rows with a null key part are groups of their own, spread by their other columns
-    alone = F.when(_any_null(keys), F.xxhash64(*[F.col(c) for c in inc.columns]))
-    w = Window.partitionBy(*keys, alone).orderBy(*order)
-    inc = inc.withColumn("_rn", F.row_number().over(w)).filter((F.col("_rn") == 1) | _any_null(keys)).drop("_rn")
-    inc = inc.select(*[F.col(c) for c in cols if c in inc.columns], F.lit(True).alias("_in"))
-    cur = current.select(*cols, F.lit(True).alias("_cur"))
-    # A null key part never conflicts: such current rows stay, such batch
-    # rows are appended, and neither goes through the join's shuffle.
-    cur_null, inc_null = cur.filter(_any_null(keys)), inc.filter(_any_null(keys))
-    cur, inc = cur.filter(~_any_null(keys)), inc.filter(~_any_null(keys))
-    j = cur.alias("c").join(inc.alias("i"), _match(cur.alias("c"), inc.alias("i"), keys, False), "full_outer")
+    if not batch_unique:
+        order = [F.col(pos).asc()] if pos is not None else [F.col(c).asc_nulls_last() for c in inc.columns]
+        # rows with a null key part are groups of their own, spread by their other columns
+        alone = F.when(_any_null(keys), F.xxhash64(*[F.col(c) for c in inc.columns]))
+        w = Window.partitionBy(*keys, alone).orderBy(*order)
+        inc = inc.withColumn("_rn", F.row_number().over(w)).filter((F.col("_rn") == 1) | _any_null(keys)).drop("_rn")
+    inc = inc.select(*[F.col(c) for c in cols if c in inc.columns])
+    carried = set(inc.columns)
+    inc = inc.withColumn("_spread", _spread(keys, inc.columns)).withColumn("_in", F.lit(True))
+    cur = current.withColumn("_spread", _spread(keys, cols))
+    on = F.col("c._spread") == F.col("i._spread")
+    for c in keys:
+        on = on & (F.col(f"c.{c}") == F.col(f"i.{c}"))
     hit = F.col("i._in").isNotNull()
     out = []
     for c in cols:
-        if c in keys:
-            out.append(F.when(hit, F.col(f"i.{c}")).otherwise(F.col(f"c.{c}")).alias(c))
-        elif c in update_cols and c in inc.columns:
+        if c in keys or (c in update_cols and c in carried):
             out.append(F.when(hit, F.col(f"i.{c}")).otherwise(F.col(f"c.{c}")).alias(c))
+        elif c in carried:  # kept on conflict, taken from the batch on insert
+            out.append(F.when(hit & F.col("c._cur").isNull(), F.col(f"i.{c}")).otherwise(F.col(f"c.{c}")).alias(c))
         else:
             out.append(F.col(f"c.{c}").alias(c))
-    appended = inc_null.select(*[(F.col(c) if c in inc_null.columns else F.lit(None).cast(dict(current.dtypes)[c]))
-                                 .alias(c) for c in cols])
-    return j.select(*out).unionByName(cur_null.select(*cols)).unionByName(appended)
+    return cur.withColumn("_cur", F.lit(True)).alias("c").join(inc.alias("i"), on, "full_outer").select(*out)
 
 
 def insert_ignore(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
@@ -261,7 +257,7 @@ def merge_reservations(current: DataFrame, incoming: DataFrame, pos: str = "_pos
     b = stage_dedupe(b, RES_STAGE_KEY, "reservation_updated_at", "created_at", tie=pos)
     if not refresh_existing:
         b = anti_existing(b, current, RES_STAGE_KEY, null_safe=True)
-    return upsert(current, b.select(*current.columns), RES_BATCH_KEY)
+    return upsert(current, b.select(*current.columns), RES_BATCH_KEY, batch_unique=True)
 
 
 CANCEL_KEY = ["client_code", "event_id", "reservation_start_at", "cancelled_on", "member_id"]
@@ -325,7 +321,7 @@ def merge_reservations_observed(current: DataFrame, incoming: DataFrame, pos: st
     b = count(dedupe_latest(b, RES_BATCH_KEY, "reservation_updated_at", pos), "batch_dedupe")
     b = count(stage_dedupe(b, RES_STAGE_KEY, "reservation_updated_at", "created_at", tie=pos), "stage_dedupe")
     b = count(anti_existing(b, current, RES_STAGE_KEY, null_safe=True), "new_vs_production")
-    return upsert(current, b.select(*current.columns), RES_BATCH_KEY), obs
+    return upsert(current, b.select(*current.columns), RES_BATCH_KEY, batch_unique=True), obs
 
 
 def audit_counts(stages: dict[str, DataFrame]) -> DataFrame:

@@ -183,3 +183,23 @@ def test_merge_partitions_touches_only_batch_partitions(spark, tmp_path):
     plan = spark.read.parquet(base).join(inc.select("client_code").distinct(), ["client_code"], "left_semi") \
         ._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan.lower() or "PartitionFilters" in plan
+
+
+def test_whole_load_reads_its_inputs_few_times(spark):
+    """The whole reservation load: no step doubles the work below it."""
+    from courtgrid.plans.merge_queries import merge_bookings
+
+    plan = merge_bookings(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("Relation [") <= 6
+    assert 1 <= plan.count("Window [") <= 4
+
+
+def test_null_keys_survive_in_one_pass(spark):
+    rows = [("a", 1), (None, 2), (None, 2)]
+    cur = spark.createDataFrame(rows, "k string, v int")
+    inc = spark.createDataFrame([("a", 5), (None, 2), (None, 7)], "k string, v int")
+    kept = M.delete_keys(cur, inc, ["k"])
+    assert [r.v for r in kept.collect()] == [2, 2]
+    assert sorted(r.v for r in M.anti_existing(inc, cur, ["k"], null_safe=False).collect()) == [2, 7]
+    assert sorted((r.k or "", r.v) for r in M.upsert(cur, inc, ["k"]).collect()) == [
+        ("", 2), ("", 2), ("", 2), ("", 7), ("a", 5)]
