@@ -307,3 +307,10 @@ def test_stages_keep_the_columns(spark, docs, tmp_path):
             kept = ngram_join.join(now.where(F.col("doc_id").isNotNull())).agg(F.max("n_links")).first()[0]
             assert kept == 0
     assert corpus_pipeline.STAGES[-1][1](spark, now, str(tmp_path)).count() > 0
+
+
+def test_frequent_words_are_whole_levels(spark):
+    counts = spark.createDataFrame([(1, 100), (2, 50), (3, 50), (4, 1), (5, 1)], "word long, n long")
+    got = {most: sorted(r["word"] for r in lm.frequent_words(counts, most).collect()) for most in (0, 1, 2, 3, 4, 5)}
+    assert got == {0: [], 1: [1], 2: [1], 3: [1, 2, 3], 4: [1, 2, 3], 5: [1, 2, 3, 4, 5]}
+    assert lm.frequent_words(counts.limit(0)).count() == 0
