@@ -40,7 +40,8 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], updated: str, pos: str) ->
     a tie; when every row of the key has a null ``updated`` the last wins."""
     return keep_first(df, keys, [
         F.col(updated).desc_nulls_last(),
-        F.when(F.col(updated).isNull(), -F.col(pos)).otherwise(F.col(pos)).asc(),
+        F.when(F.col(updated).isNotNull(), F.col(pos)).asc_nulls_last(),
+        F.when(F.col(updated).isNull(), F.col(pos)).desc_nulls_last(),
     ])
 
 
@@ -151,9 +152,10 @@ def delete_keys(df: DataFrame, doomed: DataFrame, cols: Sequence[str],
 
 
 def drop_at_or_before(df: DataFrame, ts: str, watermark) -> DataFrame:
-    """F8: drop staged rows at or before the watermark (``<=``)."""
+    """F8: drop staged rows at or before the watermark (``<=``); rows without a
+    time are kept, as a delete with that condition keeps them."""
     wm = F.lit(watermark).cast("timestamp") if isinstance(watermark, str) else watermark
-    return df.filter(F.col(ts) > wm)
+    return df.filter(~F.coalesce(F.col(ts) <= wm, F.lit(False)))
 
 
 def split_missing_keys(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:

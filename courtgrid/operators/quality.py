@@ -1,10 +1,9 @@
 """Data-quality checks and load statistics.
 
 ``run_checks`` evaluates the schema tests of the models (unique, not_null,
-relationships) with one aggregate pass per table for ``not_null``, one
-grouped count per ``unique`` column and one anti join per relationship,
-and returns a single DataFrame ``(table, column, check, failing_rows)`` —
-never a driver-side loop over rows.
+relationships) with one scan per table and one aggregate over all of them,
+and returns a single DataFrame ``(table_name, column_name, check_name,
+failing_rows)`` — never a driver-side loop over rows.
 """
 
 from __future__ import annotations
@@ -27,49 +26,51 @@ class TableChecks:
     relationships: Sequence[tuple[str, str, str]] = field(default_factory=list)
 
 
-def _row(table, column, check, failing):
-    return F.struct(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
-                    F.lit(check).alias("check_name"), failing.cast("bigint").alias("failing_rows"))
-
-
-def unique_failures(df: DataFrame, column: str) -> DataFrame:
-    """Values (non-null) occurring more than once — the count of such
-    values, as the schema test reports it."""
-    dup = df.filter(F.col(column).isNotNull()).groupBy(column).count().filter("count > 1")
-    return dup.agg(F.count(F.lit(1)).alias("n"))
+def run_checks(specs: Sequence[TableChecks]) -> DataFrame:
+    """D1–D3 over several tables as one DataFrame
+    ``(table_name, column_name, check_name, failing_rows)``.
+
+    ``unique`` counts values (not null) that occur more than once, ``not_null``
+    and ``relationships`` count rows.  Every table is scanned once: a row emits
+    one (check, value) record per check it can bear on, all records are counted
+    in one aggregate by (check, value) — map-side first, so a value holding
+    much of a table is one record per task — and the checks are sums over that.
+    """
+    checks: list[tuple[int, str, str, str, str]] = []
+    emits: dict[str, list] = {s.name: [] for s in specs}
 
+    def emit(check, column, parent=False, nulls=False):
+        col = F.col(column)
+        return F.struct(F.lit(check).alias("check"), col.cast("string").alias("value"),
+                        F.lit(0 if parent else 1).cast("bigint").alias("n"), F.lit(parent).alias("parent"),
+                        (col.isNull() if nulls else col.isNotNull()).alias("use"))
 
-def run_checks(specs: Sequence[TableChecks]) -> DataFrame:
-    """D1–D3 over several tables as one DataFrame."""
-    tables = {s.name: s.df for s in specs}
-    parts: list[DataFrame] = []
     for s in specs:
-        if s.not_null:
-            agg = s.df.agg(*[F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).alias(f"_nn{i}")
-                             for i, c in enumerate(s.not_null)])
-            parts.append(agg.select(F.explode(F.array(*[
-                _row(s.name, c, "not_null", F.coalesce(F.col(f"_nn{i}"), F.lit(0)))
-                for i, c in enumerate(s.not_null)])).alias("r")).select("r.*"))
-        for c in s.unique:
-            parts.append(unique_failures(s.df, c).select(
-                F.lit(s.name).alias("table_name"), F.lit(c).alias("column_name"),
-                F.lit("unique").alias("check_name"), F.col("n").cast("bigint").alias("failing_rows")))
-        for c, parent, pc in s.relationships:
-            # Pre-aggregate child keys (map-side partial counts) so a key
-            # holding a large share of the rows is one row per task before
-            # the anti join's shuffle.
-            child = (s.df.select(F.col(c).alias("_k")).filter(F.col("_k").isNotNull())
-                     .groupBy("_k").agg(F.count(F.lit(1)).alias("_n")))
-            par = tables[parent].select(F.col(pc).alias("_k"))
-            orphans = child.join(par, "_k", "left_anti")
-            parts.append(orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).select(
-                F.lit(s.name).alias("table_name"), F.lit(c).alias("column_name"),
-                F.lit(f"relationships:{parent}.{pc}").alias("check_name"),
-                F.col("n").cast("bigint").alias("failing_rows")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        wanted = [("not_null", c, None, None) for c in s.not_null] + [("unique", c, None, None) for c in s.unique] \
+            + [("relationships", c, p, pc) for c, p, pc in s.relationships]
+        for kind, c, parent, pc in wanted:
+            i = len(checks)
+            checks.append((i, s.name, c, f"relationships:{parent}.{pc}" if parent else kind, kind))
+            emits[s.name].append(emit(i, c, nulls=kind == "not_null"))
+            if parent:
+                emits[parent].append(emit(i, pc, parent=True))
+    records = None
+    for s in specs:
+        if emits[s.name]:
+            r = s.df.select(F.inline(F.filter(F.array(*emits[s.name]), lambda e: e["use"])))
+            records = r if records is None else records.unionByName(r)
+    spark = specs[0].df.sparkSession
+    names = spark.createDataFrame(checks, "check int, table_name string, column_name string, check_name string, kind string")
+    if records is None:
+        return names.select("table_name", "column_name", "check_name", F.lit(0).cast("bigint").alias("failing_rows"))
+    values = records.groupBy("check", "value").agg(F.sum("n").alias("n"), F.max("parent").alias("parent"))
+    sums = values.groupBy("check").agg(
+        F.sum("n").alias("rows"), F.sum(F.when(F.col("n") > 1, 1).otherwise(0)).alias("repeated"),
+        F.sum(F.when(~F.col("parent"), F.col("n")).otherwise(0)).alias("orphans"))
+    failing = F.when(F.col("kind") == "unique", F.col("repeated")).when(F.col("kind") == "not_null", F.col("rows")) \
+        .otherwise(F.col("orphans"))
+    return names.join(sums, "check", "left").select(
+        "table_name", "column_name", "check_name", F.coalesce(failing, F.lit(0)).cast("bigint").alias("failing_rows"))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], limit: int | None = 10) -> DataFrame:

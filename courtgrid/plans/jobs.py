@@ -34,6 +34,8 @@ from ..sources import payloads as PL
 from ..sources import snapshot as SN
 from ..sources import system_a as A
 from ..sources.tables import write_table
+from . import checks as CK
+from . import loads as LO
 from . import models as P
 
 RESERVATION_COLS = ["client_code", "reservation_id", "event_id", "member_id", "reservation_created_at",
@@ -43,9 +45,9 @@ WATERMARK_SCHEMA = "source_name string, last_loaded_at timestamp, last_record_cr
 
 
 def _landing_order() -> F.Column:
-    """A numeric input order: landing second of the response file, then the
-    record's position in it (fewer than a million records per response)."""
-    return F.unix_seconds(F.col("_mtime")) * F.lit(1_000_000) + F.col("_pos")
+    """The input order: landing time of the response file, its name, then the
+    record's position in it."""
+    return F.struct("_mtime", "_file", "_pos")
 
 
 def read_reservation_landing(spark: SparkSession, landing: str) -> tuple[DataFrame, DataFrame]:
@@ -102,7 +104,8 @@ def reservations_load(spark: SparkSession, landing: str, snapshot: str, watermar
 
 
 def availability_load(spark: SparkSession, courts: DataFrame, organizations: DataFrame, busy: DataFrame,
-                      snapshot: str, start_date: str, end_date: str, source_system: str = "courtreserve") -> int:
+                      snapshot: str, start_date: str, end_date: str, source_system: str = "courtreserve",
+                      watermarks: str | None = None, now: str | None = None) -> int:
     """§3.3 as one job: free slots of every tenant, replacing each tenant's
     rows; tenants processed with no free slot are cleared too (Q10).  A tenant is
     processed if it is of the system and has opening hours (a grid row) and a
@@ -115,12 +118,18 @@ def availability_load(spark: SparkSession, courts: DataFrame, organizations: Dat
     grid = V.opening_grid(courts, organizations, start_date, end_date, zones)
     processed = grid.select("client_code", F.lit(source_system).alias("source_system")).distinct()
     nxt = M.replace_groups(current, free, ["client_code", "source_system"], clear_groups=processed)
-    return SN.write_next(nxt, snapshot, partition_by=["client_code", "source_system"])
+    version = SN.write_next(nxt, snapshot, partition_by=["client_code", "source_system"])
+    if watermarks:
+        wm = SN.read_latest(spark, watermarks, schema=WATERMARK_SCHEMA)
+        done = processed.select(T.source_name("court_availability", F.col("client_code")).alias("source_name"))
+        SN.write_next(T.record(wm, done, now), watermarks)
+    return version
 
 
 def model_build(spark: SparkSession, raw: dict[str, DataFrame], out: str, as_of: str,
                 horizon_days: int = 7) -> list[str]:
     """§3.2: staging and marts in dependency order; returns the marts written.
+    The declared checks of the built models go to ``model_checks`` beside them.
 
     ``raw`` holds ``organizations``, ``courts``, ``members_raw``,
     ``reservations_raw``, ``facility_events_raw`` and
@@ -149,6 +158,16 @@ def model_build(spark: SparkSession, raw: dict[str, DataFrame], out: str, as_of:
                 ["slot_start", "court_id"])
         put("fct_court_availability_fe", P.fct_court_availability_fe(av, as_of, horizon_days),
             ["slot_start", "slot_end", "slot_type"])
+    spark = raw["organizations"].sparkSession
+    models = {n: spark.read.parquet(os.path.join(out, n)) for n in written}
+    models["stg_organizations"] = orgs
+    if "members_raw" in raw:
+        models["stg_members"] = P.stg_members(raw["members_raw"], orgs)
+    if "reservations_raw" in raw:
+        models |= {"stg_reservations_a": P.stg_reservations_a(raw["reservations_raw"], orgs),
+                   "stg_reservations_b": P.stg_reservations_b(raw["reservations_raw"], orgs),
+                   "stg_reservations": P.stg_reservations(raw["reservations_raw"], orgs)}
+    write_table(CK.model_checks(models), os.path.join(out, "model_checks"))
     return written
 
 
@@ -169,9 +188,22 @@ def main(argv=None) -> None:
     m.add_argument("--raw", required=True, help="folder with one parquet folder per raw table")
     m.add_argument("--out", required=True)
     m.add_argument("--as-of", required=True)
+    n = sub.add_parser("load", help="one of the load jobs of plans.loads")
+    n.add_argument("name", choices=sorted(LO.LOADS))
+    n.add_argument("--landing", required=True)
+    n.add_argument("--snapshot", required=True)
+    n.add_argument("--organizations", required=True, help="parquet folder of the tenants")
+    n.add_argument("--categories", help="parquet folder of the event categories (events_a)")
+    n.add_argument("--watermarks")
+    n.add_argument("--rejects")
+    n.add_argument("--now", required=True)
     a = ap.parse_args(argv)
     spark = build_session()
-    if a.job == "reservations":
+    if a.job == "load":
+        categories = spark.read.parquet(a.categories) if a.categories else None
+        print(LO.run(spark, a.name, a.landing, a.snapshot, a.now, spark.read.parquet(a.organizations),
+                     watermarks=a.watermarks, rejects=a.rejects, categories=categories))
+    elif a.job == "reservations":
         print(reservations_load(spark, a.landing, a.snapshot, a.watermarks, a.now, a.mode, a.sample, a.layout))
     else:
         names = ["organizations", "courts", "members_raw", "reservations_raw", "facility_events_raw",

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import scalars as S
+
 # --- payload record schemas (DDL) -------------------------------------------
 A_RESERVATION = (
     "Id BIGINT, ReservationTypeId BIGINT, ReservationTypeName STRING, StartTime STRING, EndTime STRING, "
@@ -105,6 +107,23 @@ def split_status_a(env: DataFrame) -> tuple[DataFrame, DataFrame]:
     return env.filter(~bad), env.filter(bad)
 
 
+def split_status_b(env: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """S3 for system B: a response without its ``items`` list (also an unreadable
+    one) is rejected; an empty list is good."""
+    return env.filter(F.col("items").isNotNull()), env.filter(F.col("items").isNull())
+
+
+def split_bad_times(records: DataFrame, fields) -> tuple[DataFrame, DataFrame]:
+    """(records whose time texts can all be read, the others).  An
+    absent, null or empty text is no fault; a text that is not an ISO time is,
+    and its record must not be loaded with a null time."""
+    bad = F.lit(False)
+    for f in fields:
+        text = F.coalesce(F.col(f), F.lit(""))
+        bad = bad | ((text != "") & S.parse_iso_utc(text).isNull())
+    return records.filter(~bad), records.filter(bad)
+
+
 def fail_on_rejects(rejected: DataFrame) -> DataFrame:
     """S3 strict mode: a projection that raises inside the job if any
     rejected response exists (no driver round trip)."""

@@ -30,7 +30,7 @@ def photo_columns(max_width: int = PHOTO_MAX_WIDTH):
 def review_aggregate(places: DataFrame) -> DataFrame:
     """(client_code, review_service, num_reviews, avg_review, link) per
     place; ``places`` carries client_code and the place details."""
-    return places.select("client_code", *review_columns())
+    return places.select("client_code", *review_columns(), *[c for c in ("_file", "_pos") if c in places.columns])
 
 
 def first_photo(places: DataFrame, max_width: int = PHOTO_MAX_WIDTH) -> DataFrame:

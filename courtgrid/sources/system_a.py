@@ -81,6 +81,7 @@ def normalize_cancellations(c: DataFrame, client_code=None) -> DataFrame:
         F.col("PriceToPay").alias("fee"), F.col("IsTeamEvent").alias("is_team_event"),
         F.col("EventCategoryName").alias("event_category_name"),
         F.col("EventCategoryId").alias("event_category_id"),
+        *[x for x in ("_file", "_pos") if x in c.columns],
     )
 
 
@@ -159,6 +160,7 @@ def normalize_events(ev: DataFrame, categories: DataFrame | None, known_zones: l
         S.safe_int(F.col("MaxRegistrants")).alias("max_registrants"),
         regular.alias("admission_rate_regular"), member.alias("admission_rate_member"),
         S.parse_courts_array(F.col("Courts")).alias("courts"),
+        *[c for c in ("_file", "_pos") if c in ev.columns],
     ).filter(F.col("event_id") != "")
     if categories is not None:
         cat = categories.select(
@@ -175,6 +177,7 @@ def normalize_events(ev: DataFrame, categories: DataFrame | None, known_zones: l
         etype.alias("event_type"),
         "event_start_time", "event_end_time", "num_registrants", "max_registrants",
         "admission_rate_regular", "admission_rate_member", "courts",
+        *[c for c in ("_file", "_pos") if c in ev.columns],
     )
 
 

@@ -102,14 +102,17 @@ def participants(invitations: Column, reservation: Column) -> Column:
 
 
 def normalize_event_reservations(events: DataFrame, client_code=None) -> DataFrame:
-    """REGULAR events -> reservations -> one row per participant."""
+    """REGULAR events -> reservations -> one row per participant.  An input
+    position ``_pos`` becomes (position of the event, of the reservation in it)."""
+    has_pos = "_pos" in events.columns
     ev = events.filter(F.upper(F.coalesce(F.col("type"), F.lit(""))) == REGULAR).select(
         _tenant(client_code).alias("client_code"),
         F.col("id").alias("event_id"),
         S.parse_iso_utc(S.truthy_or(F.col("startTime"), F.lit(None))).alias("_es"),
         S.parse_iso_utc(S.truthy_or(F.col("endTime"), F.lit(None))).alias("_ee"),
         F.col("invitations.items").alias("_inv"),
-        F.explode("reservations.items").alias("r"),
+        *([F.col("_pos")] if has_pos else []),
+        F.posexplode("reservations.items").alias("_item", "r"),
     )
     created = S.parse_iso_utc(S.truthy_or(F.col("r.createdAt"), F.lit(None)))
     rows = ev.select(
@@ -125,6 +128,7 @@ def normalize_event_reservations(events: DataFrame, client_code=None) -> DataFra
         F.coalesce(S.parse_iso_utc(S.truthy_or(F.col("r.endTime"), F.lit(None))), F.col("_ee"))
         .alias("reservation_end_at"),
         S.parse_iso_utc(S.truthy_or(F.col("r.cancelledAt"), F.lit(None))).alias("reservation_cancelled_at"),
+        *([F.struct("_pos", "_item").alias("_pos")] if has_pos else []),
     )
     return rows
 
@@ -153,6 +157,7 @@ def normalize_events(events: DataFrame, known_zones: list[str], client_code=None
         (teams * size).alias("max_registrants"),
         S.safe_double(F.col("admissionRate.regular")).alias("admission_rate_regular"),
         S.safe_double(F.col("admissionRate.member")).alias("admission_rate_member"),
+        *[c for c in ("_file", "_pos") if c in events.columns],
     )
 
 
