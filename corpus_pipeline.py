@@ -23,10 +23,11 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cross-site boilerplate lines go; a document of which no line is left goes too.
 
+    Lines of any length count, short ones too, by their spread over sites alone.
     Every line stays in the first document that has it.  ``n_chars`` of a changed
     text is counted anew; other documents keep all their values.
     """
-    cleaned = line_dedup.clean_lines(docs)
+    cleaned = line_dedup.clean_lines(docs, min_words=1)
     changed = F.col("n_removed") > 0
     cols = [F.when(changed, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType).alias("n_chars")
             if c == "n_chars" else F.col(c) for c in docs.columns]

@@ -1,9 +1,10 @@
 """Cross-site boilerplate lines by distinct-site spread.
 
 A line is a text between line feeds without the spaces around it.  Lines of at
-least ``MIN_WORDS`` words are hashed, and the sites (sources) of each hash are
+least ``min_words`` words are hashed, and the sites (sources) of each hash are
 counted with HyperLogLog sketches, built per task and merged by the
-aggregation.  Estimates near the threshold are replaced by exact distinct
+aggregation.  The registered query takes ``MIN_WORDS``, as its SQL does; the
+pipeline takes 1, so every line that is not blank counts there.  Estimates near the threshold are replaced by exact distinct
 counts.  A line on ``MIN_SITES`` or more sites is boilerplate: it is removed
 from every document but the first that holds it (least id), and there from all
 places but the first.
@@ -30,10 +31,10 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def _line_key(line: Column) -> Column:
+def _line_key(line: Column, min_words: int) -> Column:
     """Hash of a line that counts, else null."""
     bare = F.trim(line, F.lit(" \t\r\x0b\x0c"))
-    return F.when(F.regexp_count(bare, F.lit(WORD)) >= MIN_WORDS, F.xxhash64(bare))
+    return F.when(F.regexp_count(bare, F.lit(WORD)) >= min_words, F.xxhash64(bare))
 
 
 def _document_key(docs: DataFrame) -> Column:
@@ -41,11 +42,11 @@ def _document_key(docs: DataFrame) -> Column:
     return F.struct(F.col("doc_id").alias("id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_key"))
 
 
-def line_places(docs: DataFrame) -> DataFrame:
+def line_places(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """One row per place of a counted line: doc, site (a hash), place, line (a hash)."""
     site = F.xxhash64(F.coalesce(F.concat(F.lit("+"), F.col("source").cast("string")), F.lit("-")))
     return (docs.select(_document_key(docs).alias("doc"), site.alias("site"),
-                        F.posexplode(F.transform(_lines(F.col("text")), _line_key)).alias("place", "line"))
+                        F.posexplode(F.transform(_lines(F.col("text")), lambda x: _line_key(x, min_words))).alias("place", "line"))
             .where(F.col("line").isNotNull()))
 
 
@@ -71,10 +72,10 @@ def line_spread(places: DataFrame, min_sites: int = MIN_SITES, near: float = NEA
             .join(several, "line").select("line", "n_sites", "keeper"))
 
 
-def removals(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+def removals(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS) -> DataFrame:
     """Places to take out: one row per affected document: doc, drop_places (bounded by its own lines).
     """
-    places = materialise(line_places(docs), "line-places")
+    places = materialise(line_places(docs, min_words), "line-places")
     spread = materialise(line_spread(places, min_sites), "line-spread")
     hit = places.select("line", "doc", "place").join(spread.select("line", "keeper"), "line")
     # ids may be null: compared null-safely
@@ -83,18 +84,18 @@ def removals(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     return hit.where(~kept).groupBy("doc").agg(F.collect_set("place").alias("drop_places"))
 
 
-def clean_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+def clean_lines(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with cross-site boilerplate lines taken out of ``text``.
 
     Adds ``n_lines`` (lines of the input text) and ``n_removed``; other columns
     stay as they are, whatever their names, but ``n_lines`` and ``n_removed`` are
     overwritten.  Null and empty texts are left alone; a null source is one site;
     repeated rows (same id and text) are one document: all of them lose or keep a
-    line together; lines of fewer than MIN_WORDS words never count.  A document
+    line together; blank lines and lines of fewer than ``min_words`` words never count.  A document
     may be left empty if all its lines stay in others.
     """
     mine = docs.drop("n_lines", "n_removed")
-    drop = removals(mine.select("doc_id", "text", "source"), min_sites)
+    drop = removals(mine.select("doc_id", "text", "source"), min_sites, min_words)
     drop = materialise(drop.select(F.col("doc.id").alias("__id"), F.col("doc.text_key").alias("__text_key"),
                                    F.col("drop_places").alias("__drop")), "line-drops")
     keyed = mine.withColumn("__text_key", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))

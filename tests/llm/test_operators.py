@@ -114,6 +114,17 @@ def test_line_dedup_is_brute_force(docs, rows):
     assert any("\n" in (r[1] or "") and (r[0], r[1]) not in got for r in rows)
 
 
+def test_pipeline_counts_short_lines(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    made = [(i, f"{words(rng, 30)}\nAll rights reserved.\n\n{words(rng, 20)}", "en", f"s{i % 5}", 1, "x", "y") for i in range(10)]
+    made += [(10 + i, f"{words(rng, 30)}\nOnly here.", "en", "s1", 1, "x", "y") for i in range(4)]
+    out = corpus_pipeline.line_stage(spark, spark.createDataFrame(made, SCHEMA), str(tmp_path)).collect()
+    got = {r["doc_id"]: r["text"] for r in out}
+    assert [i for i, t in got.items() if "All rights reserved." in t] == [0]
+    assert all(got[i] == made[i][1].replace("All rights reserved.\n", "") for i in range(1, 10))  # blank lines stay
+    assert all(got[i] == made[i][1] for i in range(10, 14))
+
+
 def test_embeddings_are_brute_force(spark):
     rng = np.random.default_rng(1)
     base = rng.standard_normal((300, 24))
