@@ -9,12 +9,18 @@ leaves keep their size as the data grow.  All vectors of a leaf are compared in
 double precision, in blocks (see ``blocks``): a dense group that no split can
 part is many small groups.  Links of several trees are united; a pair is counted
 in the first leaf that both vectors share.
+
+A deeper tree parts more pairs, so the number of trees follows the depth: enough
+for a pair exactly at the threshold to share a leaf with probability ``RECALL``,
+both by the chance that a split at zero parts it and as counted on pairs planted
+at the threshold around vectors of the sample, sent down the fitted trees.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +31,10 @@ from pyspark.sql import functions as F
 from .blocks import compare_groups, components, first_shared, spread_blocks
 from .common import materialise
 
-TREES = 6
+TREES = 6              # least trees
+MOST_TREES = 64        # what a leaf key has room for; a warning says when the recall would need more
+RECALL = 0.9999        # chance that a pair at the threshold shares a leaf
+PLANTED = 65_536       # pairs on which the fitted trees are tried
 LEAF = 256             # aimed distinct vectors of a leaf before spill
 SAMPLE = 16_384        # most vectors that the splits are fitted on (every vector is indexed and compared)
 SPILL = 0.5            # margin on either side of a split, in standard deviations of a linked pair's distance along it
@@ -33,6 +42,28 @@ MIN_FIT = 32           # sampled vectors of a node from which its split is fitte
 BLOCK = 768
 
 
+def parted(dim: int, threshold: float, margin: float) -> float:
+    """Chance that a split at zero along a random direction parts two unit vectors of cosine ``threshold``.
+
+    Only the direction's share in the plane of the two counts: its squared length
+    is Beta(1, (dim - 2) / 2), its angle uniform.
+    """
+    if dim < 2:
+        return 0.0
+    p = (np.arange(20_000) + 0.5) / 20_000
+    length = np.sqrt(1 - (1 - p) ** (2 / (dim - 2))) if dim > 2 else np.ones(1)
+    wide = np.arccos(np.minimum(margin / length, 1))  # angles on the far side of the margin, left and right
+    return float(np.mean(np.maximum(2 * wide + math.acos(max(threshold, -1)) - math.pi, 0)) / math.pi)
+
+
+def at_cosine(rows: np.ndarray, cosine: float, rng: np.random.Generator) -> np.ndarray:
+    """A unit vector at the given cosine from each unit vector, in a random direction."""
+    side = rng.standard_normal(rows.shape)
+    side -= (side * rows).sum(1, keepdims=True) * rows
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    return cosine * rows + math.sqrt(max(1 - cosine * cosine, 0)) * side
+
+
 class Forest:
     """Random-projection trees for unit vectors of each dimension met in the sample.
 
@@ -40,12 +71,68 @@ class Forest:
     at most one for every MIN_FIT / 2 sampled vectors and tree.
     """
 
-    def __init__(self, sample: dict[int, np.ndarray], depth: int, threshold: float, trees: int = TREES):
-        self.depth, self.trees, self._threshold = depth, trees, threshold
+    def __init__(self, sample: dict[int, np.ndarray], depth: int, threshold: float, recall: float = RECALL):
+        self.depth, self._threshold = depth, threshold
         self._split: dict[tuple[int, int, int], float] = {}  # (dimension, tree, node) -> place
+        self._fitted: dict[int, int] = dict.fromkeys(sample, 0)  # dimension -> trees fitted
+        self.trees = TREES
+        for dim, rows in sample.items():
+            missed = 1 - (1 - parted(dim, threshold, self._margin(dim))) ** depth
+            by_chance = math.ceil(math.log(1 - recall) / math.log(missed)) if 0 < missed < 1 else 1
+            self.trees = max(self.trees, by_chance, self._tried(dim, rows, recall))
+        if self.trees > MOST_TREES:
+            warnings.warn(f"a recall of {recall} needs {self.trees} trees, {MOST_TREES} are built", stacklevel=2)
+            self.trees = MOST_TREES
         for dim, rows in sample.items():
-            for t in range(trees):
-                self._fit(dim, t, rows)
+            self._need(dim, rows, self.trees)
+        self._split = {k: v for k, v in self._split.items() if k[1] < self.trees}
+
+    def _need(self, dim: int, rows: np.ndarray, trees: int) -> None:
+        for t in range(self._fitted[dim], trees):
+            self._fit(dim, t, rows)
+        self._fitted[dim] = max(self._fitted[dim], trees)
+
+    def _tried(self, dim: int, rows: np.ndarray, recall: float) -> int:
+        """Least trees after which at most 1 - recall of the planted pairs have no leaf in common."""
+        rng = np.random.default_rng([dim, 17])
+        first = np.zeros(MOST_TREES + 2, np.int64)  # pairs by the first tree that joins them
+        if dim < 2 or not self.depth:
+            return 1
+        own = np.unique(rows, axis=0)  # copies of one vector are one place to plant at
+        step = max(256, (1 << 22) // dim)
+        for at in range(0, PLANTED, step):
+            left = own[rng.integers(0, len(own), min(step, PLANTED - at))]
+            right = at_cosine(left, self._threshold, rng)
+            for tree in range(MOST_TREES + 1):
+                if not len(left) or tree == MOST_TREES:
+                    first[tree + 1] += len(left)
+                    break
+                self._need(dim, rows, tree + 1)
+                joined = self.together(left, right, tree)
+                first[tree + 1] += joined.sum()
+                left, right = left[~joined], right[~joined]
+        missed = PLANTED - np.cumsum(first)
+        return int(np.argmax(missed <= (1 - recall) * PLANTED))
+
+    def together(self, left: np.ndarray, right: np.ndarray, tree: int) -> np.ndarray:
+        """For each pair of unit vectors: do the two share a leaf of the tree?"""
+        n, dim = left.shape
+        margin = self._margin(dim)
+        who, node = np.arange(n), np.ones(n, np.int64)
+        for level in range(self.depth):
+            direction = self._direction(dim, tree, level)
+            one, two = (left @ direction)[who], (right @ direction)[who]
+            split = self._places(dim, tree, node)
+            low, high = np.maximum(one, two) < split + margin, np.minimum(one, two) >= split - margin
+            who, node = (np.concatenate((who[low], who[high])),
+                         np.concatenate((2 * node[low], 2 * node[high] + 1)))
+        out = np.zeros(n, bool)
+        out[who] = True
+        return out
+
+    def _places(self, dim: int, tree: int, node: np.ndarray) -> np.ndarray:
+        places, back = np.unique(node, return_inverse=True)
+        return np.array([self._split.get((dim, tree, int(p)), 0.0) for p in places])[back]
 
     def _margin(self, dim: int) -> float:
         return SPILL * math.sqrt(max(2 - 2 * self._threshold, 0) / dim)
@@ -81,8 +168,7 @@ class Forest:
             who, node = np.arange(n), np.ones(n, np.int64)
             for level in range(self.depth):
                 along = (rows @ self._direction(dim, tree, level))[who]
-                places, back = np.unique(node, return_inverse=True)
-                split = np.array([self._split.get((dim, tree, int(p)), 0.0) for p in places])[back]
+                split = self._places(dim, tree, node)
                 low, high = along < split + margin, along >= split - margin
                 who, node = (np.concatenate((who[low], who[high])),
                              np.concatenate((2 * node[low], 2 * node[high] + 1)))

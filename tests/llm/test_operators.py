@@ -125,6 +125,24 @@ def test_pipeline_counts_short_lines(spark, tmp_path):
     assert all(got[i] == made[i][1] for i in range(10, 14))
 
 
+def test_forest_joins_pairs_at_the_threshold():
+    rng = np.random.default_rng(9)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    spread = unit(rng.standard_normal((4096, 64)))
+    crowd = unit(unit(rng.standard_normal((8, 64)))[rng.integers(0, 8, 4096)] + 0.06 * rng.standard_normal((4096, 64)))
+    for sample in (spread, crowd):
+        for depth in (4, 12, 20):
+            forest = embedding_dedup.Forest({64: sample}, depth, 0.95)
+            left = np.repeat(sample, 10, 0)
+            right = embedding_dedup.at_cosine(left, 0.95, rng)
+            apart = np.ones(len(left), bool)
+            for tree in range(forest.trees):
+                apart[apart] = ~forest.together(left[apart], right[apart], tree)
+            assert apart.mean() <= 3e-4, (depth, forest.trees)  # 1e-4 aimed at, and what chance adds on 40,960 pairs
+            few = [set(a) & set(b) for a, b in zip(forest.leaves(left[:50]), forest.leaves(right[:50]), strict=True)]
+            assert [not x for x in few] == apart[:50].tolist()
+
+
 def test_embeddings_are_brute_force(spark):
     rng = np.random.default_rng(1)
     base = rng.standard_normal((300, 24))
