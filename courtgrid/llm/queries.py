@@ -98,7 +98,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op8_token_counts")
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token count of every whole document."""
+    """Token count of every whole document, and how much of it fits 4096 tokens."""
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), 4096)
 
 

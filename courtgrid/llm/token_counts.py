@@ -10,7 +10,8 @@ piece of an encoding leaves the encoding of a shorter prefix, so
 ``inside[j] = inside[j - len(last piece)] + 1``.
 
 A text is encoded once, word by word with a memo; truncation and budget
-questions are then binary searches over the stored counts.
+questions are then a binary search over the stored counts and a walk through
+the one word in which the budget ends.
 """
 
 from __future__ import annotations
@@ -53,8 +54,9 @@ class PrefixCounter:
         if self._model.encode("\na", out_type=str)[-1] != "a":
             raise ValueError(f"{model_file}: no text can be encoded without the space in front")
         self._vocabulary = {p.replace(space, " ") for p in pieces}
-        self._longest = max(map(len, pieces))
+        self.longest = max(map(len, pieces))
         self._pairs: dict[tuple[str, str], bool] = {}
+        self._whole: dict[str, bool] = {}  # vocabulary entry -> is it encoded as itself
 
     def words(self, text: str) -> list[str]:
         """The text's words as the model sees them: with the space it puts in front."""
@@ -120,6 +122,11 @@ class PrefixCounter:
             self._pairs[pair] = self._pieces(last + piece) == self._pieces(last) + self._pieces(piece)
         return self._pairs[pair]
 
+    def _is_whole(self, piece: str) -> bool:
+        if piece not in self._whole:
+            self._whole[piece] = len(self._pieces(piece)) == 1
+        return self._whole[piece]
+
     def inside(self, word: str) -> np.ndarray:
         """Token counts of all prefixes of a word, the empty one first.
 
@@ -130,11 +137,11 @@ class PrefixCounter:
         """
         counts, last = np.zeros(len(word) + 1, np.int64), [""] * (len(word) + 1)
         for j in range(1, len(word) + 1):
-            for size in range(min(j, self._longest), 0, -1):
+            for size in range(min(j, self.longest), 0, -1):
                 piece = word[j - size:j]
                 if size > 1 and piece not in self._vocabulary:
                     continue
-                if size > 1 and len(self._pieces(piece)) != 1:
+                if size > 1 and not self._is_whole(piece):
                     continue
                 before = last[j - size]
                 if before and not self._follows(before, piece):
@@ -187,9 +194,20 @@ class Prefixes:
         return np.concatenate(([0], full[1 + self._lead:])) if self._lead else full
 
     def truncate(self, budget: int) -> int:
-        """Code points of the longest prefix that ends a word and has at most ``budget`` tokens."""
+        """Code points of the longest prefix that has at most ``budget`` tokens.
+
+        Every word has a token, so the prefix ends before or in the first word
+        whose end is over the budget.  Counts may fall within a word, so all its
+        prefixes are looked at, as far as pieces can reach with the tokens left.
+        """
         w = bisect_right(self._counts.tolist(), budget) - 1
-        return max(0, int(self._starts[w]) - self._lead)
+        if w < 0:
+            return 0
+        end, left = int(self._starts[w]), budget - int(self._counts[w])
+        if w < len(self._words) and left:
+            counts = self._counter.inside(self._words[w][:left * self._counter.longest])
+            end += int(np.flatnonzero(counts <= left)[-1])
+        return max(0, end - self._lead)
 
 
 _COUNTERS: dict[str, PrefixCounter] = {}
@@ -203,8 +221,9 @@ def counter(model_file: str) -> PrefixCounter:
 
 
 def token_counts(docs: DataFrame, model_file: str, limit: int = 4096) -> DataFrame:
-    """Token counts of every whole text: doc_id, n_bytes, n_tokens, over_limit.
+    """Token counts of every whole text: doc_id, n_bytes, n_tokens, over_limit, n_fit.
 
+    ``n_fit`` is the code points of the longest prefix of at most ``limit`` tokens.
     Begin and end tokens are not counted, and nothing is truncated.  Null and
     empty texts have 0 bytes and 0 tokens; null ids and repeated rows are kept
     row by row; an empty table gives no rows.  Other columns play no part.
@@ -213,12 +232,15 @@ def token_counts(docs: DataFrame, model_file: str, limit: int = 4096) -> DataFra
         tokens = counter(model_file)
         for batch in batches:
             for part in slices(batch, "text"):
-                totals = [p.total for p in tokens.prefixes([t or "" for t in part.column(1).to_pylist()])]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(totals, pa.int64())],
-                                                 names=["doc_id", "n_bytes", "n_tokens"])
+                found = tokens.prefixes([t or "" for t in part.column(1).to_pylist()])
+                totals = [p.total for p in found]
+                fit = [p.length if n <= limit else p.truncate(limit) for p, n in zip(found, totals, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(totals, pa.int64()),
+                                                  pa.array(fit, pa.int64())],
+                                                 names=["doc_id", "n_bytes", "n_tokens", "n_fit"])
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"),
                        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    out = rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long")
-    return out.withColumn("over_limit", F.col("n_tokens") > limit)
+    out = rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_tokens long, n_fit long")
+    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "n_fit")

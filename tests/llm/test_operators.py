@@ -242,6 +242,26 @@ def test_token_counts_and_prefixes(docs, rows):
         assert len(model.encode(text[:p.truncate(5)])) <= 5
 
 
+def test_truncation_goes_into_words(spark):
+    import sentencepiece
+
+    file = tokenizer_file("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=file)
+    rng = np.random.default_rng(3)
+    texts = ["\u6f22\u5b57\u306e\u6587\u7ae0\u306f\u7a7a\u767d\u304c\u306a\u3044" * 3, "".join(rng.choice(list("abcdefghABCDEF0189+/"), 90)),
+             "https://example.org/a/very/long/path?with=several&parts=joined", "lines\njoined\nby\nfeeds\tand\ttabs",
+             "  two  spaces internationalisation  ", "counterrevolutionaries", "a"]
+    for text in texts:
+        p = token_counts.counter(file).prefixes([text])[0]
+        counts = [len(model.encode(text[:i])) for i in range(len(text) + 1)]
+        for budget in range(counts[-1] + 2):
+            assert p.truncate(budget) == max(i for i, n in enumerate(counts) if n <= budget), (text, budget)
+    rows = spark.createDataFrame(list(enumerate(texts)) + [(20, None)], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_fit"] for r in token_counts.token_counts(rows, file, 8).collect()}
+    fit = [max(i for i in range(len(t) + 1) if len(model.encode(t[:i])) <= 8) for t in texts]
+    assert got == dict(enumerate(fit)) | {20: 0}
+
+
 def test_mix_reaches_targets(docs, rows):
     got = mixing.mix(docs).collect()
     assert len(got) == len(rows)
