@@ -219,6 +219,31 @@ def test_lm_base_score_and_normalisation(docs, rows):
     assert np.allclose(total, 1, atol=1e-5)
 
 
+def test_lm_adds_up_over_all_words():
+    rng = np.random.default_rng(4)
+    every = rng.integers(-2**62, 2**62, 3000)
+    n = np.sort(rng.integers(1, 200, 3000))[::-1]
+    words, counts = np.append(every[:2500], lm.END), np.append(n[:2500], 50)
+    vocabulary = lm.Vocabulary(words, counts, int(n.sum()) + 50, 3001)
+    at = vocabulary.bucket(np.append(every, lm.END))
+    kinds = np.unique(at)
+    vocabulary.fill_rests(kinds, np.bincount(at, np.append(n, 50))[kinds], np.bincount(at)[kinds])
+    assert vocabulary.own.sum() == lm.n_vectors(vocabulary.total) + 1 > 2000 and vocabulary.unit_counts.sum() == n.sum() + 50
+    assert lm.n_vectors(5_000_000_000) > 200 * 1022
+    model = lm.LogBilinear(vocabulary.unit_counts, vocabulary.starts, vocabulary.width)
+    _, known, units = vocabulary.look_up(np.append(every, lm.END))
+    for _ in range(5):
+        i = rng.permutation(len(units))
+        model.train(units[i], units[i[::-1]], units, rng)
+    n = np.append(n, 50)
+    for one, two in ((0, 0), (5, 900), (vocabulary.starts[0], 40)):
+        context = np.full(len(units), one), np.full(len(units), two)
+        word = np.exp(model.log_prob(units, *context) + vocabulary.log_shares(np.append(every, lm.END), n, units))
+        rest = vocabulary.starts[:-1]
+        unseen = np.exp(model.log_prob(rest, np.full(len(rest), one), np.full(len(rest), two))) / vocabulary.rest_mass
+        assert word.sum() + unseen.sum() == pytest.approx(1, abs=1e-4)
+
+
 def test_shards(docs, rows):
     got = sharding.shard_by_size(docs, 4).collect()
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == Counter(
