@@ -244,6 +244,28 @@ def test_lm_adds_up_over_all_words():
         assert word.sum() + unseen.sum() == pytest.approx(1, abs=1e-4)
 
 
+@pytest.fixture(scope="module")
+def pair_texts():
+    """Common words, and between them rarer ones in pairs: b3 stands after a3 alone."""
+    rng = np.random.default_rng(12)
+    made = []
+    for i in range(3000):
+        own = []
+        for f, g, p in zip(rng.integers(0, 1022, 20), rng.integers(0, 1022, 20), rng.integers(0, 400, 20), strict=True):
+            own.append(f"f{f} f{g} a{p} b{p}")
+        made.append((i, " ".join(own)))
+    return made
+
+
+def test_lm_tells_rarer_words_apart_in_any_partitions(spark, pair_texts):
+    docs = spark.createDataFrame(pair_texts, "doc_id long, text string")
+    gain = {}
+    for n in (1, 200):
+        gain[n] = lm.score(docs.repartition(n)).where("held_out").agg(F.sum(F.col("score") - F.col("base_score")) / F.sum("n_tokens")).first()[0]
+    assert min(gain.values()) > 0.45, gain
+    assert abs(gain[1] - gain[200]) < 0.02, gain
+
+
 def test_shards(docs, rows):
     got = sharding.shard_by_size(docs, 4).collect()
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == Counter(
