@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (embedding_dedup, fingerprints, line_dedup, lm, mixing, ngram_join, packing, sharding, token_counts,
-               toxicity)
+from . import (embedding_dedup, fingerprints, line_dedup, lm, mixing, ngram_join, packing, sharding, spelling,
+               token_counts, topk, toxicity, whitening)
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -137,6 +137,33 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), 2048, 1)
 
 
+TOP_K_SQL = """
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, c -> floor(256 * c::DOUBLE)) AS x FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id IS DISTINCT FROM c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+
+@register("op11_topk_search", TOP_K_SQL)
+def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five rows of highest integer inner product of every fiftieth vector."""
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"))
+
+
+@register("op12_spelling_variants")
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of every word of all documents."""
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
+@register("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every vector on the first four components."""
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 @register("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline of ``corpus_pipeline.py``."""
