@@ -138,8 +138,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TOP_K_SQL = """
-WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, c -> floor(256 * c::DOUBLE)) AS x FROM embeddings
-           WHERE embedding IS NOT NULL AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0),
+WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
       FROM v q JOIN v c ON q.vec_id IS DISTINCT FROM c.vec_id WHERE q.vec_id % 50 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
