@@ -156,25 +156,35 @@ _ISO_DATE = r"\d{4}-\d{2}-\d{2}"
 _ISO_TIME = r"\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?"
 _ISO_OFFSET = r"[+-]\d{2}(:?\d{2})?"
 ISO_ANY_RE = rf"^{_ISO_DATE}([T ]{_ISO_TIME}({_ISO_OFFSET}|Z)?)?$"
+# the form that Spark's cast reads as it stands: extended, at most six digits of a second
+ISO_PLAIN_RE = rf"^{_ISO_DATE}([T ]\d{{2}}:\d{{2}}(:\d{{2}}(\.\d{{1,6}})?)?({_ISO_OFFSET}|Z)?)?$"
+
+
+def _extended(x: Column) -> Column:
+    """ISO text in the extended form: the basic form (20250106T100000Z) with its
+    separators put in, fractions cut to six digits."""
+    s = F.regexp_replace(x, r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])", "$1-$2-$3")
+    s = F.regexp_replace(s, r"^(.{10}[T ]\d{2})(\d{2})(\d{2})(?![\d:])", "$1:$2:$3")
+    s = F.regexp_replace(s, r"^(.{10}[T ]\d{2})(\d{2})(?![\d:])", "$1:$2")
+    return F.regexp_replace(s, r"[.,](\d{1,6})\d*", ".$1")
 
 
 def parse_iso_utc(x, naive_zone="UTC") -> Column:
     """ISO text -> UTC instant; 'Z' accepted; naive text is read in
     ``naive_zone`` (a zone name or a zone column); unparsable text -> null.
 
-    One regex checks the ISO shape (Python's ``fromisoformat`` forms); the
-    offset test is plain string work on the part after the date, and
-    Spark's own cast parses 'Z', '+05', '+0530' and '+05:30'."""
-    # the basic form (20250106T100000Z) in the extended one; fractions cut to six digits
-    s = F.regexp_replace(_c(x), r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])", "$1-$2-$3")
-    s = F.regexp_replace(s, r"^(.{10}[T ]\d{2})(\d{2})(\d{2})(?![\d:])", "$1:$2:$3")
-    s = F.regexp_replace(s, r"^(.{10}[T ]\d{2})(\d{2})(?![\d:])", "$1:$2")
-    s = F.regexp_replace(s, r"[.,](\d{1,6})\d*", ".$1")
+    One regex checks the plain shape, which most texts have; only other texts are
+    rewritten, then checked against all of Python's ``fromisoformat`` forms.  The
+    offset test is plain string work on the part after the date, and Spark's own
+    cast parses 'Z', '+05', '+0530' and '+05:30'."""
+    c = _c(x)
     zone = F.lit(naive_zone) if isinstance(naive_zone, str) else naive_zone
+    rewritten = _extended(c)
+    s = F.when(c.rlike(ISO_PLAIN_RE), c).when(rewritten.rlike(ISO_ANY_RE), rewritten)
     tail = F.substr(s, F.lit(11))
     has_offset = s.endswith("Z") | (F.instr(tail, "+") > 0) | (F.instr(tail, "-") > 0)
     ts = s.try_cast("timestamp")  # session zone is UTC: a naive wall clock is kept as is
-    return F.when(s.rlike(ISO_ANY_RE), F.when(has_offset, ts).otherwise(F.to_utc_timestamp(ts, zone)))
+    return F.when(has_offset, ts).otherwise(F.to_utc_timestamp(ts, zone))
 
 
 def parse_event_time(x) -> Column:

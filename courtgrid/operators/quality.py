@@ -57,7 +57,7 @@ def run_checks(specs: Sequence[TableChecks]) -> DataFrame:
     records = None
     for s in specs:
         if emits[s.name]:
-            r = s.df.select(F.inline(F.filter(F.array(*emits[s.name]), lambda e: e["use"])))
+            r = s.df.select(F.inline(F.array(*emits[s.name]))).filter("use").drop("use")
             records = r if records is None else records.unionByName(r)
     spark = specs[0].df.sparkSession
     names = spark.createDataFrame(checks, "check int, table_name string, column_name string, check_name string, kind string")
