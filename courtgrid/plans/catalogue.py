@@ -8,6 +8,6 @@ from __future__ import annotations
 
 from . import (  # noqa: F401
     facility_queries, load_job_queries, load_queries, merge_queries, model_queries,
-    payload_queries, slot_queries, streaming_queries,
+    payload_queries, poll_queries, slot_queries, streaming_queries,
 )
 from .registry import ORACLE_SQL, QUERIES  # noqa: F401

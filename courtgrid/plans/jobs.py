@@ -1,8 +1,8 @@
 """End-to-end batch jobs: the reference's make targets as Spark jobs.
 
-* :func:`reservations_load` — §3.1: landed system-A reservation responses ->
-  status split (S3) -> normaliser (N1) -> cancellations (M8) -> merge (M1)
-  -> next snapshot version -> watermark (T2).  All tenants in one job; the
+* :func:`reservations_load` — §3.1: system-A reservation responses landed since the
+  last run -> outcomes (S1–S3, C6, T7) -> normaliser (N1) -> cancellations (M8) ->
+  merge (M1) -> next snapshot version -> watermark (T2).  All tenants in one job; the
   tenant comes from the landing folder (``client_code=<tenant>/``).
 * :func:`availability_load` — §3.3: opening grid minus busy intervals
   (V1–V5) -> replace per tenant (M6, Q10) -> next snapshot version.
@@ -32,8 +32,9 @@ from ..operators import merge as M
 from ..operators import watermark as T
 from ..sources import payloads as PL
 from ..sources import snapshot as SN
-from ..sources import system_a as A
+from ..sources import variants as VA
 from ..sources.tables import write_table
+from ..streaming import stream as ST
 from . import checks as CK
 from . import loads as LO
 from . import models as P
@@ -44,62 +45,60 @@ RESERVATION_COLS = ["client_code", "reservation_id", "event_id", "member_id", "r
 WATERMARK_SCHEMA = "source_name string, last_loaded_at timestamp, last_record_created_at timestamp"
 
 
-def _landing_order() -> F.Column:
-    """The input order: landing time of the response file, its name, then the
-    record's position in it."""
-    return F.struct("_mtime", "_file", "_pos")
-
-
-def read_reservation_landing(spark: SparkSession, landing: str) -> tuple[DataFrame, DataFrame]:
-    """(normalised reservation rows with ``_pos``, rejected responses)."""
-    schema = PL.envelope_a(PL.A_RESERVATION) + ", client_code STRING"
-    env = (spark.read.schema(schema).option("multiLine", True).option("basePath", landing).json(landing)
-           .withColumn("_file", F.col("_metadata.file_path"))
-           .withColumn("_mtime", F.col("_metadata.file_modification_time")))
-    good, rejected = PL.split_status_a(env)
-    recs = PL.unwrap_a(good, keep=("_file", "_mtime", "client_code"))
-    norm = A.normalize_reservations(recs.withColumn("_pos", _landing_order()))
-    return norm, rejected
-
-
 def reservations_load(spark: SparkSession, landing: str, snapshot: str, watermarks: str, now: str,
-                      mode: str = "incremental", sample: int | None = None, layout: str = "versioned") -> dict:
-    """§3.1 as one job.  ``mode``: ``incremental`` keeps records updated
-    since midnight of the tenant's watermark (T3/T4), ``full`` keeps all,
-    ``dev`` keeps an ordered sample of ``sample`` rows (S6).
+                      mode: str = "incremental", sample: int | None = None, layout: str = "versioned",
+                      organizations: DataFrame | None = None, rejects: str | None = None,
+                      ledger: str | None = None, multiline: bool = True) -> dict:
+    """§3.1 as one job over the files landed since the last run (the ledger and the
+    one-pass outcomes of ``plans.loads``).  ``mode``: ``incremental`` keeps records updated
+    since midnight of the tenant's watermark (T3/T4), ``full`` keeps all, ``dev`` keeps an
+    ordered sample of ``sample`` rows (S6).  With ``organizations`` only tenants of the
+    roster are loaded (S12).  Responses, records and tenants that are not loaded are written
+    to ``rejects`` (default: in the ledger) with a reason.
 
     ``layout='versioned'`` writes the whole next state as a new version;
     ``'partitioned'`` keeps one table partitioned by tenant and reads and
     replaces only the tenants present in the batch (for big tables)."""
-    norm, rejected = read_reservation_landing(spark, landing)
-    batch = norm.withColumn("created_at", F.lit(now).cast("timestamp"))
-    wm = SN.read_latest(spark, watermarks, schema=WATERMARK_SCHEMA)
+    load = LO.LOADS["reservations_a"]
+    ledger = ledger or snapshot.rstrip("/") + "-ledger"
+    rejects = rejects or f"{ledger}/rejects"
+    known = LO.roster(load, organizations) if organizations is not None else None
     src = T.source_name("reservations", F.col("client_code"))
-    if mode == "incremental":
-        roster = batch.select(src.alias("source_name")).distinct()
-        resolved = T.resolve(wm, roster, now)
-        batch = T.incremental(batch, resolved, "reservation_updated_at", src, overlap="midnight")
-    elif mode == "dev":
-        batch = PL.sample(batch, sample or 2000, ["client_code", "reservation_id", "member_id", "_pos"])
-    active, cancelled = M.split_cancelled(batch)
-    if layout == "partitioned":
-        def merge(cur, inc):
-            cur, act = M.apply_cancellations(cur.select(*RESERVATION_COLS), inc.filter(
-                F.col("reservation_cancelled_at").isNull()), cancelled)
-            return M.merge_reservations(cur, act.select(*RESERVATION_COLS, "_pos"))
-        nxt = SN.merge_partitions(spark, snapshot, batch.select(*RESERVATION_COLS, "_pos"), merge, ["client_code"])
+    audit: dict = {"rejects": 0, "rejected_responses": 0}
+
+    def apply(landed: DataFrame, batch_id: int) -> None:
+        version = batch_id + 1
+        good, bad = LO.stage(spark, load, landed, known, f"{ledger}/staged/batch={version:08d}", version)
+        batch, _ = LO.prepare(load, good, f"{ledger}/rows/batch={version:08d}", now, {})
+        wm = SN.read_latest(spark, watermarks, schema=WATERMARK_SCHEMA)
+        if mode == "incremental":
+            sources = batch.select(src.alias("source_name")).distinct()
+            batch = T.incremental(batch, T.resolve(wm, sources, now), "reservation_updated_at", src, overlap="midnight")
+        elif mode == "dev":
+            batch = PL.sample(batch, sample or 2000, ["client_code", "reservation_id", "member_id", "_pos"])
+        active, cancelled = M.split_cancelled(batch)
+        if layout == "partitioned":
+            def merge(cur, inc):
+                cur, act = M.apply_cancellations(cur.select(*RESERVATION_COLS), inc.filter(
+                    F.col("reservation_cancelled_at").isNull()), cancelled)
+                return M.merge_reservations(cur, act.select(*RESERVATION_COLS, "_pos"))
+            nxt = SN.merge_partitions(spark, snapshot, batch.select(*RESERVATION_COLS, "_pos"), merge, ["client_code"])
+            audit["touched_rows"] = nxt.count()
+        else:
+            current = SN.read_latest(spark, snapshot, schema=batch.select(*RESERVATION_COLS).schema, before=version)
+            current, active = M.apply_cancellations(current.select(*RESERVATION_COLS), active, cancelled)
+            nxt, obs = M.merge_reservations_observed(current, active.select(*RESERVATION_COLS, "_pos"))
+            audit["snapshot_version"] = SN.write_next(nxt, snapshot, version=version)
+            for k, o in obs.items():
+                audit[k] = audit.get(k, 0) + (o.get or {}).get("rows", 0)
         loaded = batch.select(src.alias("source_name"), "reservation_created_at")
         SN.write_next(T.record(wm, loaded, now, record_created="reservation_created_at"), watermarks)
-        return {"touched_rows": nxt.count(), "rejected_responses": rejected.count()}
-    current = SN.read_latest(spark, snapshot, schema=batch.select(*RESERVATION_COLS).schema)
-    current, active = M.apply_cancellations(current.select(*RESERVATION_COLS), active, cancelled)
-    nxt, obs = M.merge_reservations_observed(current, active.select(*RESERVATION_COLS, "_pos"))
-    version = SN.write_next(nxt, snapshot)
-    loaded = batch.select(src.alias("source_name"), "reservation_created_at")
-    SN.write_next(T.record(wm, loaded, now, record_created="reservation_created_at"), watermarks)
-    audit = {k: (o.get or {}).get("rows", 0) for k, o in obs.items()}
-    audit["rejected_responses"] = rejected.count()
-    audit["snapshot_version"] = version
+        SN.write_next(bad, rejects, version=version)
+        lost = dict(map(tuple, SN.read_latest(spark, rejects, before=version + 1).groupBy("reason").count().collect()))
+        audit["rejects"] += sum(lost.values())
+        audit["rejected_responses"] += lost.get("response", 0)
+
+    ST.run_available_now(VA.responses(spark.readStream, landing, multiline), ledger, foreach_batch=apply)
     return audit
 
 
@@ -184,6 +183,14 @@ def main(argv=None) -> None:
     r.add_argument("--mode", default="incremental", choices=["incremental", "full", "dev"])
     r.add_argument("--sample", type=int)
     r.add_argument("--layout", default="versioned", choices=["versioned", "partitioned"])
+    r.add_argument("--organizations", help="parquet folder of the tenants: only those of the roster are loaded")
+    r.add_argument("--rejects")
+    v = sub.add_parser("availability", help="free slots of every tenant (§3.3)")
+    for flag in ("--courts", "--organizations", "--busy", "--snapshot", "--start-date", "--end-date"):
+        v.add_argument(flag, required=True)
+    v.add_argument("--source-system", default="courtreserve")
+    v.add_argument("--watermarks")
+    v.add_argument("--now")
     m = sub.add_parser("models")
     m.add_argument("--raw", required=True, help="folder with one parquet folder per raw table")
     m.add_argument("--out", required=True)
@@ -204,7 +211,13 @@ def main(argv=None) -> None:
         print(LO.run(spark, a.name, a.landing, a.snapshot, a.now, spark.read.parquet(a.organizations),
                      watermarks=a.watermarks, rejects=a.rejects, categories=categories))
     elif a.job == "reservations":
-        print(reservations_load(spark, a.landing, a.snapshot, a.watermarks, a.now, a.mode, a.sample, a.layout))
+        orgs = spark.read.parquet(a.organizations) if a.organizations else None
+        print(reservations_load(spark, a.landing, a.snapshot, a.watermarks, a.now, a.mode, a.sample, a.layout,
+                                orgs, a.rejects))
+    elif a.job == "availability":
+        print(availability_load(spark, spark.read.parquet(a.courts), spark.read.parquet(a.organizations),
+                                spark.read.parquet(a.busy), a.snapshot, a.start_date, a.end_date, a.source_system,
+                                a.watermarks, a.now))
     else:
         names = ["organizations", "courts", "members_raw", "reservations_raw", "facility_events_raw",
                  "facility_court_availabilities"]

@@ -9,7 +9,7 @@ order-sensitive dedupe rules (W5–W7) have a real input order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,12 +17,12 @@ from ..functions import scalars as S
 
 # --- payload record schemas (DDL) -------------------------------------------
 A_RESERVATION = (
-    "Id BIGINT, ReservationTypeId BIGINT, ReservationTypeName STRING, StartTime STRING, EndTime STRING, "
+    "Id STRING, ReservationTypeId STRING, ReservationTypeName STRING, StartTime STRING, EndTime STRING, "
     "CreatedOnUtc STRING, UpdatedOnUtc STRING, CancelledOnUtc STRING, CancelledOn STRING, Courts STRING, "
-    "Players ARRAY<STRUCT<OrganizationMemberId: BIGINT>>"
+    "Players ARRAY<STRUCT<OrganizationMemberId: STRING>>"
 )
 A_CANCELLATION = (
-    "EventId BIGINT, EventDateId BIGINT, OrganizationMemberId BIGINT, StartTime STRING, EndTime STRING, "
+    "EventId STRING, EventDateId STRING, OrganizationMemberId STRING, StartTime STRING, EndTime STRING, "
     "SignedUpOnUtc STRING, CancelledOnUtc STRING, CancelledOn STRING, FirstName STRING, LastName STRING, "
     "Email STRING, Phone STRING, EventName STRING, EventCategoryName STRING, EventCategoryId BIGINT, "
     "PriceToPay DOUBLE, IsTeamEvent BOOLEAN"
@@ -113,14 +113,21 @@ def split_status_b(env: DataFrame) -> tuple[DataFrame, DataFrame]:
     return env.filter(F.col("items").isNotNull()), env.filter(F.col("items").isNull())
 
 
+def bad_times(fields, within: str = "") -> Column:
+    """Does one of the time texts name no time?  An absent, null or empty text is
+    no fault.  ``a.items[].b`` is field ``b`` of every element of the list ``a.items``;
+    ``within`` is a struct that holds the fields."""
+    texts = F.array(*[F.col(within + f) for f in fields if "[]." not in f]).cast("array<string>")
+    nested = [f.split("[].") for f in fields if "[]." in f]
+    lists = [F.coalesce(F.col(f"{within}{at}.{leaf}"), F.array().cast("array<string>")) for at, leaf in nested]
+    # one test over all texts of a record, not one copy of it for each field
+    return F.exists(F.concat(texts, *lists), lambda t: F.coalesce((t != "") & S.parse_iso_utc(t).isNull(), F.lit(False)))
+
+
 def split_bad_times(records: DataFrame, fields) -> tuple[DataFrame, DataFrame]:
-    """(records whose time texts can all be read, the others).  An
-    absent, null or empty text is no fault; a text that is not an ISO time is,
-    and its record must not be loaded with a null time."""
-    bad = F.lit(False)
-    for f in fields:
-        text = F.coalesce(F.col(f), F.lit(""))
-        bad = bad | ((text != "") & S.parse_iso_utc(text).isNull())
+    """(records whose time texts can all be read, the others): a record must
+    not be loaded with a null time in place of a text that is no time."""
+    bad = bad_times(fields)
     return records.filter(~bad), records.filter(bad)
 
 

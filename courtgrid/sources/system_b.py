@@ -178,15 +178,17 @@ def normalize_sessions(sessions: DataFrame, end_time, client_code=None) -> DataF
         _session_time(F.col("endTime")).alias("slot_end"),
         F.col("periodType").alias("period_type"),
         F.col("availableTables.items").alias("_tables"),
+        *[c for c in ("_pos",) if c in sessions.columns],
     ).filter(F.col("slot_start").isNotNull() & F.col("slot_end").isNotNull() & (F.col("slot_start") <= end))
-    t = s.select("client_code", "slot_start", "slot_end", "period_type", F.explode("_tables").alias("t"))
+    pos = [c for c in ("_pos",) if c in sessions.columns]
+    t = s.select("client_code", "slot_start", "slot_end", "period_type", F.explode("_tables").alias("t"), *pos)
     t = t.filter((F.col("t.type") == FIXED_TABLE) & F.col("t.table").isNotNull()
                  & (F.coalesce(F.col("t.table.id"), F.lit("")) != ""))
     return t.select(
         "client_code", F.lit(SYSTEM_B).alias("source_system"),
         F.col("t.table.id").alias("court_id"),
         S.truthy_or(F.col("t.table.displayName"), F.col("t.table.displayNameShort"), F.lit(None)).alias("court_name"),
-        "slot_start", "slot_end", "period_type",
+        "slot_start", "slot_end", "period_type", *pos,
     )
 
 

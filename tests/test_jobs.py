@@ -36,7 +36,7 @@ def test_reservations_load_twice(spark, tmp_path):
     assert audit["snapshot_version"] == 1 and audit["rejected_responses"] == 1
     assert SN.read_latest(spark, snap).count() == 3
     # second load: reservation 1 moved (new start), reservation 2 cancelled
-    _land(landing, "pklyn", "p1.json", [_res(1, "2025-01-08T10:00:00", "2025-01-05T00:00:00", [11, 12]),
+    _land(landing, "pklyn", "p2.json", [_res(1, "2025-01-08T10:00:00", "2025-01-05T00:00:00", [11, 12]),
                                         _res(2, "2025-01-07T10:00:00", "2025-01-05T00:00:00", [13],
                                              cancelled="2025-01-05T01:00:00Z")])
     audit = J.reservations_load(spark, landing, snap, wm, "2025-01-06 00:00:00", mode="incremental")
@@ -77,9 +77,8 @@ def test_reservations_load_partitioned(spark, tmp_path):
     _land(landing, "b", "p1.json", [_res(2, "2025-01-06T10:00:00", "2025-01-02T00:00:00", [12])])
     J.reservations_load(spark, landing, snap, wm, "2025-01-05 00:00:00", mode="full", layout="partitioned")
     b_files = sorted(os.listdir(os.path.join(snap, "client_code=b")))
-    landing2 = str(tmp_path / "landing2")
-    _land(landing2, "a", "p2.json", [_res(1, "2025-01-09T10:00:00", "2025-01-05T00:00:00", [11])])
-    J.reservations_load(spark, landing2, snap, wm, "2025-01-06 00:00:00", mode="full", layout="partitioned")
+    _land(landing, "a", "p2.json", [_res(1, "2025-01-09T10:00:00", "2025-01-05T00:00:00", [11])])
+    J.reservations_load(spark, landing, snap, wm, "2025-01-06 00:00:00", mode="full", layout="partitioned")
     assert sorted(os.listdir(os.path.join(snap, "client_code=b"))) == b_files
     got = sorted((r.client_code, r.reservation_start_at.day) for r in spark.read.parquet(snap).collect())
     assert got == [("a", 9), ("b", 6)]

@@ -47,13 +47,13 @@ def test_members_b(spark, tmp_path):
     _land(land, "t3", "1.json", {"items": [_user("u9")], "_total": 1})
     _land(land, "t1", "broken.json", '{"items": [')
     out, cur, rejects, at = _run(spark, tmp_path, "members_b")
-    assert out == {"version": 1, "rejects": 3}
+    assert out == {"version": 1, "rejects": 3, "judged": 6}
     assert [(r.client_code, r.member_id, r.first_name) for r in cur.collect()] == [("t1", "u1", "first")]
     assert rejects == ["missing key", "response", "tenant not in roster"]
     wm = {r.source_name: r.last_loaded_at for r in SN.read_latest(spark, at["wm"]).collect()}
     assert wm == {"members__t1": dt.datetime(2025, 1, 6), "members__t2": dt.datetime(2025, 1, 6)}
-    out, again, _, _ = _run(spark, tmp_path, "members_b")
-    assert out["version"] == 2 and sorted(again.collect()) == sorted(cur.collect())
+    out, again, _, _ = _run(spark, tmp_path, "members_b")  # no new file: nothing is read
+    assert out == {"version": 1, "rejects": 0, "judged": 0} and sorted(again.collect()) == sorted(cur.collect())
 
 
 def test_members_a_marks_tenants_with_rows_only(spark, tmp_path):
@@ -84,7 +84,7 @@ def test_sessions_b_clear_a_tenant(spark, tmp_path):
     _land(land, "t2", "1.json", {"items": [s, {**s, "startTime": "2025-02-07T10:00:00Z"}]})
     _, cur, _, _ = _run(spark, tmp_path, "sessions_b")
     assert sorted(r.client_code for r in cur.collect()) == ["t1", "t2"]
-    _land(land, "t2", "1.json", {"items": []})
+    _land(land, "t2", "2.json", {"items": []})
     _, cur, _, at = _run(spark, tmp_path, "sessions_b")
     assert [r.client_code for r in cur.collect()] == ["t1"]
     assert {r.source_name for r in SN.read_latest(spark, at["wm"]).collect()} == {
