@@ -1,11 +1,10 @@
 """Cross-site boilerplate lines by distinct-site spread.
 
 A line is a text between line feeds without the spaces around it.  Lines of at
-least ``min_words`` words are hashed, and the sites (sources) of each hash are
-counted with HyperLogLog sketches, built per task and merged by the
-aggregation.  The registered query takes ``MIN_WORDS``, as its SQL does; the
-pipeline takes 1, so every line that is not blank counts there.  Estimates near the threshold are replaced by exact distinct
-counts.  A line on ``MIN_SITES`` or more sites is boilerplate: it is removed
+least ``min_words`` words (one, unless stated otherwise: all lines that are not
+blank) are hashed, and the sites (sources) of each hash are counted with
+HyperLogLog sketches, built per task and merged by the aggregation.  Estimates
+near the threshold are replaced by exact distinct counts.  A line on ``MIN_SITES`` or more sites is boilerplate: it is removed
 from every document but the first that holds it (least id), and there from all
 places but the first.
 
@@ -22,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import WORD, materialise
 
 MIN_SITES = 4
-MIN_WORDS = 5
+MIN_WORDS = 1
 SKETCH_BITS = 12     # 2^12 registers: a standard error of 1.6 %
 NEAR = 0.15          # estimates within this part of the threshold (9 errors) are counted exactly
 
@@ -84,25 +83,28 @@ def removals(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_W
     return hit.where(~kept).groupBy("doc").agg(F.collect_set("place").alias("drop_places"))
 
 
-def clean_lines(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS) -> DataFrame:
+def clean_lines(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS,
+                counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
     """``docs`` with cross-site boilerplate lines taken out of ``text``.
 
-    Adds ``n_lines`` (lines of the input text) and ``n_removed``; other columns
-    stay as they are, whatever their names, but ``n_lines`` and ``n_removed`` are
-    overwritten.  Null and empty texts are left alone; a null source is one site;
-    repeated rows (same id and text) are one document: all of them lose or keep a
-    line together; blank lines and lines of fewer than ``min_words`` words never count.  A document
-    may be left empty if all its lines stay in others.
+    Adds two columns, named by ``counts``: lines of the input text, and lines taken
+    out; columns of ``docs`` of these names are replaced, all others stay as they are.
+    Null and empty texts are left alone; a null source is one site; repeated rows (same
+    id and text) are one document: all of them lose or keep a line together; blank
+    lines and lines of fewer than ``min_words`` words never count.  A document may be
+    left empty if all its lines stay in others.  Work is linear in a document's lines.
     """
-    mine = docs.drop("n_lines", "n_removed")
+    mine = docs.drop(*counts)
     drop = removals(mine.select("doc_id", "text", "source"), min_sites, min_words)
     drop = materialise(drop.select(F.col("doc.id").alias("__id"), F.col("doc.text_key").alias("__text_key"),
                                    F.col("drop_places").alias("__drop")), "line-drops")
     keyed = mine.withColumn("__text_key", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
     joined = keyed.join(drop, keyed["doc_id"].eqNullSafe(drop["__id"]) & (keyed["__text_key"] == drop["__text_key"]), "left")
-    lines = _lines(F.col("text"))
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("__drop"), i)), "\n")
-    return joined.select(*[F.when(F.col("__drop").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text"
-                           else mine[c] for c in mine.columns],
-                         F.when(F.coalesce(F.col("text"), F.lit("")) == "", 0).otherwise(F.size(lines)).alias("n_lines"),
-                         F.coalesce(F.size("__drop"), F.lit(0)).alias("n_removed"))
+    # a generator's column: the text is split once, however often its lines are read
+    split = joined.select(*[mine[c] for c in mine.columns], "__drop", F.explode(F.array(_lines(F.col("text")))).alias("__lines"))
+    places = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__drop"))  # in order, by a hash set
+    kept = F.array_join(F.transform(places, lambda i: F.col("__lines")[i]), "\n")
+    return split.select(*[F.when(F.col("__drop").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text"
+                          else F.col(f"`{c}`") for c in mine.columns],
+                        F.when(F.coalesce(F.col("text"), F.lit("")) == "", 0).otherwise(F.size("__lines")).alias(counts[0]),
+                        F.coalesce(F.size("__drop"), F.lit(0)).alias(counts[1]))

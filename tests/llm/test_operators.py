@@ -410,3 +410,60 @@ def test_frequent_words_are_whole_levels(spark):
     got = {most: sorted(r["word"] for r in lm.frequent_words(counts, most).collect()) for most in (0, 1, 2, 3, 4, 5)}
     assert got == {0: [], 1: [1], 2: [1], 3: [1, 2, 3], 4: [1, 2, 3], 5: [1, 2, 3, 4, 5]}
     assert lm.frequent_words(counts.limit(0)).count() == 0
+
+
+def test_short_lines_count_and_long_documents_are_linear(spark):
+    """A two-word line on many sites goes; a document of 100,000 such lines is no trouble."""
+    short = "All rights"
+    rows = [(i, f"unique text number {i}\n{short}", "en", f"site{i}", None, None, None) for i in range(6)]
+    rows.append((99, "\n".join([short] * 100_000 + ["the end"]), "en", "site99", None, None, None))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {r["doc_id"]: (r["text"], r["n_lines"], r["n_removed"]) for r in line_dedup.clean_lines(docs).collect()}
+    assert got[0] == (f"unique text number 0\n{short}", 2, 0)
+    assert all(got[i] == (f"unique text number {i}", 2, 1) for i in range(1, 6))
+    assert got[99] == ("the end", 100_001, 100_000)
+
+
+def test_line_stage_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(i, f"text {i} of a site\nthe same line", "en", f"s{i}", 9, 77, 88) for i in range(6)],
+                                 "doc_id long, text string, lang string, source string, n_chars long, n_lines int, n_removed int")
+    got = corpus_pipeline.line_stage(spark, docs, "").collect()
+    assert {(r["n_lines"], r["n_removed"]) for r in got} == {(77, 88)} and got[0].asDict().keys() == set(docs.columns)
+
+
+def test_keep_one_of_repeated_and_wordless_rows(spark):
+    """A third of the rows are one row; rows without words all stay, with ids or without."""
+    rng = np.random.default_rng(12)
+    hot = words(rng, 30)
+    rows = [(7, hot, "en", "s", None, None, None)] * 60 + [(None, t, "en", s, None, None, None) for t in ("", None, "  ") for s in "abc"]
+    rows += [(100 + i, words(rng, 30), "en", "s", None, None, None) for i in range(60)]
+    rows += [(300 + i, hot + " " + words(rng, 2), "en", "s", None, None, None) for i in range(20)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    got = Counter((r["doc_id"], r["text"]) for r in ngram_join.keep_one(docs).collect())
+    assert got == Counter([(7, hot)] + [(None, t) for t in ("", None, "  ") for _ in "abc"]
+                          + [(100 + i, rows[69 + i][1]) for i in range(60)])
+    links = {r["doc_id"]: r["n_links"] for r in ngram_join.join(docs).collect() if r["doc_id"] is not None and r["doc_id"] < 100}
+    assert links == {7: 59 + 20}
+
+
+def test_toxicity_sample_is_bounded_in_texts(spark):
+    """Few ids on many rows: the sample's bound holds for texts, and repeated rows count once."""
+    rows = [(i % 30, f"text number {i % 3000}") for i in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(30)], "doc_id long, quality int, toxic int")
+    train = toxicity.training_texts(docs, labels, 500)
+    assert 300 < train.count() < 700
+    assert toxicity.training_texts(docs, labels, 10 ** 6).count() == len(
+        {r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1})
+
+
+def test_packing_memo_of_two_ages(spark, monkeypatch):
+    monkeypatch.setattr(packing, "MEMO_CHUNKS", 40)
+    rng = np.random.default_rng(13)
+    encode = packing.ChunkEncoder(tokenizer_file("word_bpe_49k.json"))
+    common = words(rng, 15)
+    for _ in range(30):
+        texts = [common + " " + words(rng, 12) + ". X," for _ in range(3)]
+        want = [encode._whole(t) for t in texts]
+        assert encode.encode(texts) == want
+    assert len(encode._memo) + len(encode._older) < 250
