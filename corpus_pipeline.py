@@ -27,8 +27,8 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Every line stays in the first document that has it.  ``n_chars`` of a changed
     text is counted anew; other documents keep all their values.
     """
-    cleaned = line_dedup.clean_lines(docs, min_words=1)
-    changed = F.col("n_removed") > 0
+    cleaned = line_dedup.clean_lines(docs, counts=("__n_lines", "__n_removed"))
+    changed = F.col("__n_removed") > 0
     cols = [F.when(changed, F.char_length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType).alias("n_chars")
             if c == "n_chars" else F.col(c) for c in docs.columns]
     return cleaned.where(~changed | (F.trim("text") != "")).select(*cols)
