@@ -184,15 +184,23 @@ def is_training(doc_id: Column) -> Column:
 
 
 def training_texts(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
-    """(text, toxic) of a hash sample of about ``rows`` labelled training rows."""
+    """(text, toxic) of a hash sample of about ``rows`` labelled training texts, each text of an id once.
+
+    The bound holds for texts: their number is counted before the sample is drawn, however
+    often an id or a row is repeated.
+    """
     usable = (labels.where(F.col("toxic").isNotNull() & is_training(F.col("doc_id")))
               .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
     usable = materialise(usable, "tox-labels")
-    share = min(1.0, rows / max(usable.count(), 1))
-    chance = F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1 << 30)) / float(1 << 30)
-    picked = usable.where(chance < share)
-    texts = docs.select(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return materialise(texts.join(picked, "doc_id").select("text", "toxic"), "tox-train")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    texts = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("key"))
+    count = texts.select("doc_id", "key").join(usable, "doc_id").groupBy("doc_id", "key").agg(F.count("*").alias("n")).count()
+    share = min(1.0, rows / max(count, 1))
+    chance = F.pmod(F.xxhash64("doc_id", "key", F.lit("train")), F.lit(1 << 30)) / float(1 << 30)
+    picked = texts.where(chance < share).join(usable, "doc_id")
+    # copies of a row are drawn alike; they are made one before they move
+    return materialise(picked.groupBy("doc_id", "key").agg(F.first("text").alias("text"), F.first("toxic").alias("toxic"))
+                       .select("text", "toxic"), "tox-train")
 
 
 def _tally(batches: Iterator[pa.RecordBatch], only: Callable) -> Iterator[pa.RecordBatch]:
