@@ -31,6 +31,7 @@ TREES = 16
 DEPTHS = (3, 4, 5)
 TARGET_RECALL = 0.9999
 BLOCK = 192            # rows of a block; a group holds two blocks at most
+SEEN = 100_000         # ids of repeated rows that a task remembers (a row met again is dropped where it is compared)
 
 _MIN = random64(2 * TREES * DEPTHS[-1], 101)
 
@@ -142,8 +143,8 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET_R
 
     Returns one row per input row: doc_id, text_key, class_id (least doc_id
     reachable over links; null if no row of the class has an id), n_links (other
-    rows whose shingle sets have similarity >= threshold, equal texts included)
-    and kept (the row with the least doc_id of its class; null ids come last).
+    rows whose shingle sets have similarity >= threshold, equal texts included),
+    copies (rows of its own shingle set, itself included) and kept (the row with the least doc_id of its class; null ids come last).
     Texts without words link with nothing: class_id is their own id, kept is
     true.  Texts of one to four words have one shingle.  Repeated rows are links
     of each other; the operator reads doc_id and text only.
@@ -177,7 +178,18 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET_R
         .select("text", "id", "copies", "own", "nodes")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
         for batch in batches:
+            # a repeated row (same id and text) is met once a task: a sorted join brings its
+            # copies one after the other, a broadcast one has few ids
+            first = []
+            for id_, copies in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                first.append(copies == 1 or id_ not in seen)
+                if copies > 1:
+                    seen.add(id_)
+            if len(seen) > SEEN:
+                seen = {batch.column(1)[-1].as_py()}
+            batch = batch.filter(pa.array(first))
             for part in slices(batch, "text"):
                 yield pa.RecordBatch.from_arrays(
                     [part.column(1), part.column(2), part.column(3), part.column(4),
@@ -191,9 +203,9 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET_R
     groups = spread_blocks(rows, "key", "n", "id", block).drop("n")
 
     def linked(key: tuple, cols: dict[str, list]):
-        # repeated rows with one id and text come once each: keep the first
-        seen = {x: i for i, x in reversed(list(enumerate(cols["id"])))}
-        take = sorted(seen.values())
+        # a repeated row may come once from each task that met it
+        met = {x: i for i, x in reversed(list(enumerate(cols["id"])))}
+        take = sorted(met.values())
         if len(take) < len(cols["id"]):
             for c in cols:
                 cols[c] = [cols[c][i] for i in take]
@@ -210,13 +222,14 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET_R
                            .withColumn("label", F.coalesce("label", "digest")), "ngram-labelled")
     heads = materialise(labelled.groupBy("label").agg(F.min("least").alias("head")), "ngram-heads")
     info = materialise(labelled.join(heads, "label").join(links, "digest", "left")
-                       .select("digest", F.col("head").alias("head"),
+                       .select("digest", "copies", F.col("head").alias("head"),
                                (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "ngram-info")
     out = sig.select("doc_id", "text_key", "digest").join(info, "digest", "left")
     return out.select(
         "doc_id", "text_key",
         F.when(F.col("head").isNull(), F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("copies", F.lit(1)).cast("long").alias("copies"),
         F.when(F.col("head").isNull(), F.lit(True))
         .otherwise(F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("text_key") == F.col("head.text_key"))).alias("kept"))
 
@@ -227,9 +240,12 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Rows equal in id and text are one document: one of them stays (texts without
     words all stay).
     """
-    kept = join(docs.select("doc_id", "text"), threshold).where("kept").select(
-        F.col("doc_id").alias("__id"), F.col("text_key").alias("__text_key")).distinct()
+    kept = join(docs.select("doc_id", "text"), threshold).where("kept").groupBy(
+        F.col("doc_id").alias("__id"), F.col("text_key").alias("__text_key")).agg(F.max("copies").alias("__copies"))
     kept = materialise(kept, "ngram-kept")
     keyed = docs.withColumn("__text_key", text_key(docs))
-    left = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["__id"]) & (keyed["__text_key"] == kept["__text_key"]), "left_semi")
-    return left.dropDuplicates(["doc_id", "__text_key"]).select(*docs.columns)
+    left = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["__id"]) & (keyed["__text_key"] == kept["__text_key"])) \
+        .select(*[keyed[c] for c in keyed.columns], "__copies")
+    # only rows whose set has copies can be repeated: the others do not move again
+    once = left.where("__copies = 1").unionByName(left.where("__copies > 1").dropDuplicates(["doc_id", "__text_key"]))
+    return once.select(*[F.col(f"`{c}`") for c in docs.columns])
