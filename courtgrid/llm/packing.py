@@ -33,7 +33,7 @@ SIZE = 2048
 SENTENCE_PENALTY = 8
 TOKEN_PENALTY = 16
 RUN_TOKENS = 1 << 20
-MEMO_CHUNKS = 600_000  # chunks whose ids a worker keeps (a cache, never a limit on texts)
+MEMO_CHUNKS = 800_000  # chunks of each of the two ages whose ids a worker keeps (a cache, never a limit on texts)
 LONG_CHUNK = 48
 
 
@@ -64,6 +64,7 @@ class ChunkEncoder:
         # fixed values: special strings of the file, and characters that only Python takes for space
         self._odd = ("<|startoftext|>", "<|endoftext|>", "\x1c", "\x1d", "\x1e", "\x1f")
         self._memo: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}  # what was known before the memo was begun anew
 
     def _whole(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -98,21 +99,23 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        memo = self._memo
         # the tokenizer lower-cases; doing so for A-Z beforehand changes nothing and leaves fewer chunks
         split = [None if any(x in t for x in self._odd) else t.encode().lower().decode().split() for t in texts]
         chunks = set(chain.from_iterable(x for x in split if x))
-        missing = [c for c in chunks if c not in memo]
+        missing: set[str] | list[str] = chunks.difference(self._memo)
         if missing:
-            if len(memo) + len(missing) > MEMO_CHUNKS:
-                memo.clear()
-                missing = list(chunks)
+            if len(self._memo) + len(missing) > MEMO_CHUNKS:  # chunks not met for a whole age are forgotten
+                self._older, self._memo, missing = self._memo, {}, chunks
+            known = missing.intersection(self._older)
+            self._memo.update(zip(known, map(self._older.__getitem__, known), strict=True))
+            missing = list(missing.difference(known))
             self._learn_all(missing)
-        out = [self._whole(t) if x is None else b"".join(map(memo.__getitem__, x)) for t, x in zip(texts, split, strict=True)]
+        ids = self._memo.__getitem__
+        out = [self._whole(t) if x is None else b"".join(map(ids, x)) for t, x in zip(texts, split, strict=True)]
         for c in missing:
             if len(c) > LONG_CHUNK:
-                memo.pop(c, None)
-                memo.pop(c[:-1], None)
+                self._memo.pop(c, None)
+                self._memo.pop(c[:-1], None)
         return out
 
 
@@ -245,7 +248,7 @@ def pack(docs: DataFrame, tokenizer_file: str, size: int = SIZE, end_id: int = 1
             for part in slices(batch, "text"):
                 out: list[tuple] = []
                 ids = encode.encode([t or "" for t in part.column(1).to_pylist()])
-                for doc_id, x in zip(part.column(0), ids, strict=True):
+                for doc_id, x in zip(part.column(0).to_pylist(), ids, strict=True):
                     out += packer.add(doc_id, np.frombuffer(x + end, "<u4"))
                 if out:
                     yield _rows(out, kind)
@@ -262,5 +265,5 @@ def pack(docs: DataFrame, tokenizer_file: str, size: int = SIZE, end_id: int = 1
 def _rows(out: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
     names = ["doc_id", *(c.split()[0] for c in PIECES.split(", "))]
     cols = list(zip(*out, strict=True))
-    return pa.RecordBatch.from_arrays([pa.array([x.as_py() for x in cols[0]], kind),
+    return pa.RecordBatch.from_arrays([pa.array(cols[0], kind),
                                        *(pa.array(c, pa.int64()) for c in cols[1:])], names=names)
