@@ -340,36 +340,36 @@ def watermark_reset(spark, sf_dir):
 
 
 @register("tenant_roster", """
-SELECT lower(n_name) AS client_code, CASE WHEN n_nationkey % 2 = 1 THEN 'pod' || CAST(n_nationkey AS VARCHAR) END AS pod_id
-FROM nation WHERE n_regionkey % 2 = 1 AND n_nationkey % 5 NOT IN (0, 4)""")
+SELECT lower(s_name) AS client_code, CASE WHEN s_suppkey % 2 = 1 THEN 'pod' || CAST(s_suppkey AS VARCHAR) END AS pod_id
+FROM supplier WHERE s_nationkey % 2 = 1 AND s_suppkey % 5 NOT IN (0, 4)""")
 def tenant_roster(spark, sf_dir):
     """Customers of one system, code stripped and lower-cased; null and
     false customers out, an empty pod id is none."""
-    k = F.col("n_nationkey")
-    orgs = read_table(spark, sf_dir, "nation").select(
-        F.concat(F.lit("  "), F.upper("n_name"), F.lit(" ")).alias("client_code"),
-        F.when(F.col("n_regionkey") % 2 == 0, "courtreserve").otherwise("podplay").alias("source_system_code"),
+    k = F.col("s_suppkey")
+    orgs = read_table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("  "), F.upper("s_name"), F.lit(" ")).alias("client_code"),
+        F.when(F.col("s_nationkey") % 2 == 0, "courtreserve").otherwise("podplay").alias("source_system_code"),
         F.when(k % 5 == 4, F.lit(None)).otherwise(k % 5 != 0).alias("is_customer"),
         F.when(k % 2 == 1, F.concat(F.lit("pod"), k.cast("string"))).otherwise(F.lit("")).alias("podplay_pod_id"))
     return R.tenant_roster(orgs, "podplay")
 
 
 @register("seed_courts", """
-WITH seeds AS (SELECT CAST(n_nationkey * 10 + k AS BIGINT) AS court_id, lower(n_name) AS client_code,
+WITH seeds AS (SELECT CAST(s_suppkey * 10 + k AS BIGINT) AS court_id, lower(s_name) AS client_code,
                       'Court #' || CAST(k AS VARCHAR) AS court_label, 'indoor' AS court_type, CAST(9 - k AS INTEGER) AS order_index
-               FROM nation, range(1, 4) r(k)),
-cur AS (SELECT CAST(n_nationkey * 10 + k AS BIGINT), lower(n_name), 'Old', 'outdoor', CAST(k AS INTEGER)
-        FROM nation, range(3, 6) r(k) WHERE k <> 3)
+               FROM supplier, range(1, 4) r(k)),
+cur AS (SELECT CAST(s_suppkey * 10 + k AS BIGINT), lower(s_name), 'Old', 'outdoor', CAST(k AS INTEGER)
+        FROM supplier, range(3, 6) r(k) WHERE k <> 3)
 SELECT *, TIMESTAMP '2024-01-01' AS created_at, TIMESTAMP '2024-01-01' AS updated_at FROM seeds
 UNION ALL SELECT *, TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-01' FROM cur""")
 def seed_courts(spark, sf_dir):
     """S11 + O2 + P1: seed courts upserted by id, in order, as the staging model."""
-    n = read_table(spark, sf_dir, "nation")
+    n = read_table(spark, sf_dir, "supplier")
 
     def courts(first, last, label, kind, index):
         k = F.col("k")
         return n.select("*", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("k")).select(
-            (F.col("n_nationkey") * 10 + k).cast("bigint").alias("id"), F.lower("n_name").alias("client_code"),
+            (F.col("s_suppkey") * 10 + k).cast("bigint").alias("id"), F.lower("s_name").alias("client_code"),
             label(k).alias("label"), F.lit(kind).alias("type_name"), index(k).cast("int").alias("order_index"),
             _at("2024-01-01").alias("created_at"), _at("2024-01-01").alias("updated_at"))
     seeds = courts(1, 3, lambda k: F.concat(F.lit("Court #"), k.cast("string")), "indoor", lambda k: 9 - k)

@@ -250,7 +250,7 @@ members_in AS (
   SELECT member_id, membership_type_name, balance FROM (
     SELECT CAST(o_custkey AS VARCHAR) AS member_id, o_orderpriority AS membership_type_name, o_totalprice AS balance,
            row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn
-    FROM orders WHERE o_orderstatus = 'O') WHERE rn = 1
+    FROM orders) WHERE rn = 1
 )"""
 
 
@@ -258,7 +258,7 @@ def _members(spark, sf_dir):
     c = read_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("member_id"), F.col("c_name").alias("first_name"),
         F.col("c_mktsegment").alias("membership_type_name"), F.col("c_acctbal").alias("balance"))
-    o = read_table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "O").select(
+    o = read_table(spark, sf_dir, "orders").select(
         F.col("o_custkey").cast("string").alias("member_id"),
         F.col("o_orderpriority").alias("membership_type_name"),
         F.col("o_totalprice").alias("balance"), F.col("o_orderkey").alias("_pos"))
@@ -275,31 +275,31 @@ UNION ALL
 SELECT i.member_id, NULL AS first_name, i.membership_type_name, i.balance
 FROM members_in i WHERE NOT EXISTS (SELECT 1 FROM members_cur c WHERE c.member_id = i.member_id)""")
 def upsert_customers(spark, sf_dir):
-    """M3 (+ W7 batch dedupe): open orders update the member's type and balance;
+    """M3 (+ W7 batch dedupe): orders update the member's type and balance;
     the name is not in the batch and keeps its current value."""
     cur, inc = _members(spark, sf_dir)
     return M.upsert(cur, inc, ["member_id"], update_cols=["membership_type_name", "balance"], pos="_pos")
 
 
 @register("insert_ignore_orders", """
-WITH cur AS (SELECT CAST(c_custkey % 500 AS VARCHAR) AS member_id, c_name AS first_name, c_mktsegment AS membership_type_name FROM customer
-             QUALIFY row_number() OVER (PARTITION BY c_custkey % 500 ORDER BY c_custkey) = 1),
+WITH cur AS (SELECT CASE WHEN c_custkey % 5 = 0 THEN 'old ' ELSE '' END || CAST(c_custkey AS VARCHAR) AS member_id,
+                    c_name AS first_name, c_mktsegment AS membership_type_name FROM customer),
 inc AS (SELECT member_id, first_name, membership_type_name FROM (
-  SELECT CAST(o_custkey % 700 AS VARCHAR) AS member_id, 'order ' || CAST(o_orderkey AS VARCHAR) AS first_name,
+  SELECT CAST(o_custkey AS VARCHAR) AS member_id, 'order ' || CAST(o_orderkey AS VARCHAR) AS first_name,
          o_orderpriority AS membership_type_name,
-         row_number() OVER (PARTITION BY o_custkey % 700 ORDER BY o_orderkey) AS rn FROM orders) WHERE rn = 1)
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn FROM orders) WHERE rn = 1)
 SELECT * FROM cur
 UNION ALL
 SELECT * FROM inc i WHERE NOT EXISTS (SELECT 1 FROM cur c WHERE c.member_id = i.member_id)""")
 def insert_ignore_orders(spark, sf_dir):
     """M4: insert-ignore of member rows derived from orders into a member
-    table derived from customers (keys folded so both overlap)."""
-    c = read_table(spark, sf_dir, "customer").select(
-        (F.col("c_custkey") % 500).cast("string").alias("member_id"), F.col("c_name").alias("first_name"),
-        F.col("c_mktsegment").alias("membership_type_name"), F.col("c_custkey").alias("_pos"))
-    cur = M.dedupe_first(c, ["member_id"], "_pos").drop("_pos")
+    table derived from customers, a fifth of whom have other ids there."""
+    k = F.col("c_custkey")
+    cur = read_table(spark, sf_dir, "customer").select(
+        F.concat(F.when(k % 5 == 0, "old ").otherwise(""), k.cast("string")).alias("member_id"), F.col("c_name").alias("first_name"),
+        F.col("c_mktsegment").alias("membership_type_name"))
     o = read_table(spark, sf_dir, "orders").select(
-        (F.col("o_custkey") % 700).cast("string").alias("member_id"),
+        F.col("o_custkey").cast("string").alias("member_id"),
         F.concat(F.lit("order "), F.col("o_orderkey").cast("string")).alias("first_name"),
         F.col("o_orderpriority").alias("membership_type_name"), F.col("o_orderkey").alias("_pos"))
     return M.insert_ignore(cur, o, ["member_id"], pos="_pos")
@@ -307,20 +307,20 @@ def insert_ignore_orders(spark, sf_dir):
 
 @register("replace_group_events", f"""
 WITH {EVENTS_RAW_SQL.strip()},
-cur AS (SELECT * FROM events_raw WHERE created_at < TIMESTAMP '2024-01-20'),
+cur AS (SELECT * FROM events_raw WHERE created_at < TIMESTAMP '2024-01-20' OR created_at IS NULL OR client_code = 'tenant_4'),
 inc AS (SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY client_code, source_system, event_id, event_start_time ORDER BY _pos DESC) AS rn
-  FROM events_raw WHERE created_at >= TIMESTAMP '2024-01-15' AND event_name <> 'error'
-    AND client_code <> 'tenant_4') WHERE rn = 1)
+  FROM events_raw WHERE created_at >= TIMESTAMP '2024-01-15' AND client_code <> 'tenant_4') WHERE rn = 1)
 SELECT * FROM cur c WHERE NOT EXISTS (
   SELECT 1 FROM inc i WHERE i.client_code = c.client_code AND i.source_system = c.source_system)
 UNION ALL
 SELECT * FROM inc""")
 def replace_group_events(spark, sf_dir):
-    """M5: a reload replaces each (tenant, system) it covers; others stay."""
+    """M5: a reload replaces each (tenant, system) it covers; others stay.  Every row is
+    in the table or the reload, many in both; one tenant is not reloaded."""
     ev = events_raw_view(spark, sf_dir)
-    cur = ev.filter(F.col("created_at") < F.lit("2024-01-20").cast("timestamp"))
-    inc = ev.filter((F.col("created_at") >= F.lit("2024-01-15").cast("timestamp"))
-                    & (F.col("event_name") != "error") & (F.col("client_code") != "tenant_4"))
+    alone, made = F.col("client_code") == "tenant_4", F.col("created_at")
+    cur = ev.filter((made < F.lit("2024-01-20").cast("timestamp")) | made.isNull() | alone)
+    inc = ev.filter((made >= F.lit("2024-01-15").cast("timestamp")) & ~alone)
     inc = M.dedupe_last(inc, EVENT_KEY, "_pos")
     return M.replace_groups(cur, inc, ["client_code", "source_system"])
