@@ -79,8 +79,14 @@ def test_sample_and_truncate(spark):
 
 
 def test_pushdown_and_pruning(spark):
-    import __spark_entry__ as E
-    df = E.queries()["upsert_customers"](spark, "/root/testdata/sf0.001")
+    from courtgrid.operators import merge as M
+    from courtgrid.plans import merge_queries as MQ
+    from courtgrid.sources.tables import read_table
+    cur, _ = MQ._members(spark, "/root/testdata/sf0.001")
+    inc = read_table(spark, "/root/testdata/sf0.001", "orders").filter("o_orderstatus = 'O'").select(
+        F.col("o_custkey").cast("string").alias("member_id"), F.col("o_orderpriority").alias("membership_type_name"),
+        F.col("o_totalprice").alias("balance"), F.col("o_orderkey").alias("_pos"))
+    df = M.upsert(cur, inc, ["member_id"], update_cols=["membership_type_name", "balance"], pos="_pos")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,O)]" in plan
     # o_orderdate (between o_totalprice and o_orderpriority) is pruned from the scan
