@@ -337,6 +337,11 @@ def finish(two_hour: DataFrame, hour: DataFrame, cross: DataFrame, orphan: DataF
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
+    return keyed(u)
+
+
+def keyed(u: DataFrame) -> DataFrame:
+    """L14 alone: keys and display columns of composed slots that bear their type."""
     pk = S.surrogate_key(F.col("client_code"), S.pg_timestamptz_text(F.col("slot_start")),
                          S.pg_timestamptz_text(F.col("slot_end")), F.col("slot_type"))
     slot_pk = S.surrogate_key(F.col("client_code"), F.col("source_system"),

@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import daymask
 from ..operators import slots as L
 from ..sources.tables import read_table
 from .registry import ORACLE_SQL, QUERIES, _pgts, _skey, _tl, register  # noqa: F401
@@ -190,3 +191,9 @@ def slots_orphan(spark, sf_dir):
 @register("slots_all", SLOTS_ALL_SQL)
 def slots_all(spark, sf_dir):
     return _slot_plan(spark, sf_dir).all()
+
+
+@register("slots_bitmask", SLOTS_ALL_SQL)
+def slots_bitmask(spark, sf_dir):
+    """L1–L14 from day masks: the rows of ``slots_all`` without self joins or checkpoints."""
+    return daymask.compose_slots(avail_view(spark, sf_dir), AS_OF, HORIZON_DAYS)
