@@ -48,6 +48,18 @@ def opening_grid(courts: DataFrame, organizations: DataFrame, start_date, end_da
     gives no slots; close after midnight only when the close *hour* is
     below the open hour (V2); a partial last slot is dropped.
     """
+    spans = opening_spans(courts, organizations, start_date, end_date, known_zones, slot_minutes)
+    step = F.expr(f"INTERVAL {int(slot_minutes)} MINUTES")
+    return spans.select(
+        "client_code", "court_id", "court_label",
+        F.explode(F.sequence(F.col("first_slot"), F.col("last_slot"), step)).alias("slot_start"),
+    ).withColumn("slot_end", F.col("slot_start") + step)
+
+
+def opening_spans(courts: DataFrame, organizations: DataFrame, start_date, end_date,
+                  known_zones: list[str], slot_minutes: int = SLOT_MINUTES) -> DataFrame:
+    """V1–V2: one row per court and opening day with its first slot (the opening time)
+    and the latest start that a whole slot can have, UTC."""
     org = organizations.select(
         "client_code", F.from_json("operating_hours", OPERATING_HOURS_SCHEMA).alias("_oh"))
     zone_raw = F.coalesce(F.col("_oh.timezone"), F.lit("America/New_York"))
@@ -74,9 +86,7 @@ def opening_grid(courts: DataFrame, organizations: DataFrame, start_date, end_da
     step = F.expr(f"INTERVAL {int(slot_minutes)} MINUTES")
     last = F.col("_close") - step
     return bounded.filter(last >= F.col("_open")).select(
-        "client_code", "court_id", "court_label",
-        F.explode(F.sequence(F.col("_open"), last, step)).alias("slot_start"),
-    ).withColumn("slot_end", F.col("slot_start") + step)
+        "client_code", "court_id", "court_label", F.col("_open").alias("first_slot"), last.alias("last_slot"))
 
 
 def busy_intervals(events: DataFrame | None, reservations: DataFrame | None) -> DataFrame:
@@ -124,12 +134,21 @@ def free_slots(courts: DataFrame, organizations: DataFrame, events: DataFrame |
                source_system: str = "courtreserve") -> DataFrame:
     """V1–V5 end to end, in the shape of ``facility_court_availabilities``."""
     grid = opening_grid(courts, organizations, start_date, end_date, known_zones)
+    free = subtract_busy(grid, busy_near(events, reservations, start_date, end_date))
+    return availability_rows(free, source_system)
+
+
+def busy_near(events: DataFrame | None, reservations: DataFrame | None, start_date, end_date) -> DataFrame:
+    """V4 for the dates of a grid: busy rows that can touch it, clipped to its surroundings."""
     # local days reach at most a day over the UTC ones: older and later busy rows cannot matter
     lo = F.lit(str(start_date)).cast("timestamp") - F.expr("INTERVAL 1 DAY")
     hi = F.lit(str(end_date)).cast("timestamp") + F.expr("INTERVAL 2 DAYS")
     near = busy_intervals(events, reservations).filter((F.col("busy_start") < hi) & (F.col("busy_end") > lo))
-    clipped = near.withColumn("busy_start", F.greatest("busy_start", lo)).withColumn("busy_end", F.least("busy_end", hi))
-    free = subtract_busy(grid, clipped)
+    return near.withColumn("busy_start", F.greatest("busy_start", lo)).withColumn("busy_end", F.least("busy_end", hi))
+
+
+def availability_rows(free: DataFrame, source_system: str) -> DataFrame:
+    """Free slots in the shape of ``facility_court_availabilities``."""
     return free.select(
         "client_code", F.lit(source_system).alias("source_system"),
         F.col("court_id").cast("string").alias("court_id"),

@@ -60,9 +60,67 @@ def calculated_period(peak: Column, is_weekday: Column, t: Column) -> Column:
     return F.when(peak.isNull(), F.lit(None).cast("string")).when(is_weekday, weekday).otherwise(weekend)
 
 
+def minute_bits(hits) -> Column:
+    """24 longs, one an hour: bit ``m`` tells ``hits(second of day of minute m)``."""
+    def hour(h):
+        return F.aggregate(
+            F.sequence(F.lit(0), F.lit(59)), F.lit(0).cast("bigint"),
+            lambda acc, m: acc.bitwiseOR(F.when(hits(h * 3600 + m * 60), F.call_function(
+                "shiftleft", F.lit(1).cast("bigint"), m)).otherwise(F.lit(0).cast("bigint"))))
+    return F.transform(F.sequence(F.lit(0), F.lit(23)), hour)
+
+
+def compile_hours(peak: Column) -> Column:
+    """A tenant's weekday lists as minute-of-day bitmaps; the weekend is one flag (K6).
+
+    ``peak`` and ``off``: minutes inside a range of the list.  ``split``: minutes within
+    which a range begins or ends (a bound with seconds); they are told by the second
+    from ``exact``, the lists themselves, kept only for tenants that have such bounds.
+    """
+    lists = [peak["weekday_peak"], peak["weekday_off_peak"]]
+
+    def inside(t, seconds):
+        return (seconds >= t) & (seconds < t + 60) & (F.pmod(seconds, F.lit(60)) != 0)
+
+    def splits(t):
+        cut = [F.exists(ranges, lambda r: inside(t, hhmm_seconds(r["start"])) | inside(t, hhmm_seconds(r["end"])))
+               for ranges in lists]
+        return F.coalesce(cut[0], F.lit(False)) | F.coalesce(cut[1], F.lit(False))
+
+    odd = [F.coalesce(F.exists(ranges, lambda r: (F.pmod(hhmm_seconds(r["start"]), F.lit(60)) != 0)
+                               | (F.pmod(hhmm_seconds(r["end"]), F.lit(60)) != 0)), F.lit(False)) for ranges in lists]
+    with_seconds = odd[0] | odd[1]
+    return F.when(peak.isNotNull(), F.struct(
+        non_empty(lists[0]).alias("has_weekday"), F.coalesce(non_empty(peak["weekend_peak"]), F.lit(False)).alias("weekend"),
+        minute_bits(lambda t: in_any_range(lists[0], t)).alias("peak"),
+        minute_bits(lambda t: in_any_range(lists[1], t)).alias("off"),
+        F.when(with_seconds, minute_bits(splits)).alias("split"),
+        F.when(with_seconds, peak).alias("exact"),
+    ))
+
+
+def period_at(hours: Column, is_weekday: Column, t: Column) -> Column:
+    """K5 + K6 by position in the bitmaps of ``compile_hours``: no range is read per slot."""
+    hour = F.floor(t / 3600).cast("int")
+    minute = F.floor((t % 3600) / 60).cast("int")
+
+    def at(bits):
+        return F.call_function("shiftright", F.get(bits, hour), minute).bitwiseAND(F.lit(1).cast("bigint")) == 1
+
+    weekday = (
+        F.when(~hours["has_weekday"], F.lit(None).cast("string"))
+        .when(at(hours["split"]), calculated_period(hours["exact"], is_weekday, t))
+        .when(at(hours["peak"]), F.lit("peak"))
+        .when(at(hours["off"]), F.lit("off_peak"))
+        .otherwise(F.lit("peak"))
+    )
+    return (F.when(hours.isNull(), F.lit(None).cast("string")).when(is_weekday, weekday)
+            .otherwise(F.when(hours["weekend"], F.lit("peak"))))
+
+
 def label_periods(avail: DataFrame, organizations: DataFrame, courts: DataFrame | None,
                   known_zones: list[str], as_of=None, horizon_days: int = 7,
-                  dow_zone: str = "utc") -> DataFrame:
+                  dow_zone: str = "utc", bitmaps: bool = False) -> DataFrame:
     """P11 ``fct_court_availability``.
 
     ``avail``: client_code, source_system, court_id, court_name, slot_start,
@@ -73,7 +131,8 @@ def label_periods(avail: DataFrame, organizations: DataFrame, courts: DataFrame
     Time of day is the slot's local time in the facility zone (Q1, stated
     intent); the weekday comes from the stored UTC instant unless
     ``dow_zone='local'``.  An unknown zone name falls back to the default
-    zone instead of failing the job.
+    zone instead of failing the job.  ``bitmaps``: the ranges are compiled once a
+    tenant (``compile_hours``) and slots are told by position; the rows are the same.
     """
     a = avail
     if as_of is not None:
@@ -85,6 +144,11 @@ def label_periods(avail: DataFrame, organizations: DataFrame, courts: DataFrame
         F.from_json("peak_hours", PEAK_HOURS_SCHEMA).alias("_peak"),
         F.from_json("operating_hours", OPERATING_HOURS_SCHEMA).alias("_oh"),
     )
+    zone_raw = F.coalesce(F.col("_peak.timezone"), F.col("_oh.timezone"), F.lit(S.DEFAULT_FACILITY_ZONE))
+    zone = F.when(zone_raw.isin(sorted(set(known_zones))), zone_raw).otherwise(F.lit(S.DEFAULT_FACILITY_ZONE))
+    if bitmaps:
+        org = org.select("client_code", zone.alias("_zone"), compile_hours(F.col("_peak")).alias("_hours"))
+        zone = F.coalesce("_zone", F.lit(S.DEFAULT_FACILITY_ZONE))  # a slot without a tenant row
     a = a.join(org, "client_code", "left")
     if courts is not None:
         c = courts.select(F.col("court_id").cast("string").alias("_cid"), F.col("client_code").alias("_ccode"),
@@ -93,13 +157,11 @@ def label_periods(avail: DataFrame, organizations: DataFrame, courts: DataFrame
         name = F.coalesce(F.col("court_label"), F.col("court_name"))
     else:
         name = F.col("court_name")
-    zone_raw = F.coalesce(F.col("_peak.timezone"), F.col("_oh.timezone"), F.lit(S.DEFAULT_FACILITY_ZONE))
-    zone = F.when(zone_raw.isin(sorted(set(known_zones))), zone_raw).otherwise(F.lit(S.DEFAULT_FACILITY_ZONE))
     local = F.from_utc_timestamp(F.col("slot_start"), zone)
     t = F.hour(local) * 3600 + F.minute(local) * 60 + F.second(local)
     dow = S.dow_sunday0(local if dow_zone == "local" else F.col("slot_start"))
     is_weekday = dow.between(1, 5)
-    calc = calculated_period(F.col("_peak"), is_weekday, t)
+    calc = period_at(F.col("_hours"), is_weekday, t) if bitmaps else calculated_period(F.col("_peak"), is_weekday, t)
     return a.select(
         S.surrogate_key(F.col("client_code"), F.col("source_system"), F.col("court_id").cast("string"),
                         S.pg_timestamptz_text(F.col("slot_start"))).alias("availability_pk"),

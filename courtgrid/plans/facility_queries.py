@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import availability as V
+from ..operators import islands
 from ..operators import peak as K
 from ..sources.tables import read_table
 from .registry import register
@@ -195,10 +196,20 @@ WHERE slot_start >= TIMESTAMP '2024-01-01' AND slot_start <= TIMESTAMP '2024-01-
 @register("peak_label", PEAK_SQL)
 def peak_label(spark, sf_dir):
     """Peak / off-peak label of every slot from its tenant's hour ranges."""
+    return _labelled(spark, sf_dir)
+
+
+@register("peak_bitmap", PEAK_SQL)
+def peak_bitmap(spark, sf_dir):
+    """P11 from minute bitmaps compiled once a tenant: the rows of ``peak_label``."""
+    return _labelled(spark, sf_dir, bitmaps=True)
+
+
+def _labelled(spark, sf_dir, bitmaps: bool = False) -> DataFrame:
     zones = S.known_zone_names(spark)
     t = tenants_view(spark, sf_dir).select("client_code", "peak_hours", "operating_hours")
     return K.label_periods(slots_view(spark, sf_dir), t, courts_view(spark, sf_dir), zones,
-                           as_of="2024-01-01", horizon_days=30)
+                           as_of="2024-01-01", horizon_days=30, bitmaps=bitmaps)
 
 
 def busy_sources(spark, sf_dir):
@@ -271,6 +282,14 @@ def free_slots(spark, sf_dir):
     return V.free_slots(courts_view(spark, sf_dir), t, None, busy_sources(spark, sf_dir), DATE_FROM, DATE_TO, zones)
 
 
+@register("free_slots_islands", FREE_SQL)
+def free_slots_islands(spark, sf_dir):
+    """V1–V5 from busy islands: the rows of ``free_slots``, joined by court-day instead of by slot."""
+    zones = S.known_zone_names(spark)
+    t = tenants_view(spark, sf_dir).select("client_code", "operating_hours")
+    return islands.free_slots(courts_view(spark, sf_dir), t, None, busy_sources(spark, sf_dir), DATE_FROM, DATE_TO, zones)
+
+
 @register("opening_grid", f"""
 WITH {TENANTS_SQL.strip()},
 {GRID_CTES}
