@@ -4,7 +4,7 @@ Rows are ordered by the hash of their text and then by id.  A size-weighted
 sample of these keys gives quantile boundaries of many narrow ranges; rows are
 dealt into the ranges, and ranges whose exact size is over the allowed one are
 split again with boundaries sampled inside them (first by hash, then, for one
-hot text, by id).  Shards are runs of ranges of equal total size; a range that
+hot text, by id, then, for one repeated row, by a number of the row).  Shards are runs of ranges of equal total size; a range that
 holds a shard's edge is cut there by its running sum.  A group of equal texts
 stays whole unless it is larger than ``GROUP_SHARE`` of a shard, so shard sizes
 differ by a few hundredths at most.
@@ -28,18 +28,25 @@ MOST_RANGES = 65_536       # beyond, ranges hold more rows; bounds what the driv
 GROUP_SHARE = 0.01         # a group of equal texts up to this share of a shard is not cut
 OVERFULL = 4               # times the aimed size from which a range is split again
 MOST_ROUNDS = 8
+SPREAD_BITS = 20           # of a tie, tell rows equal in text and id apart
 
 
 def sized_rows(docs: DataFrame) -> DataFrame:
     """doc_id, size (UTF-8 bytes + 1), text_crc32 and the ordering key of every row.
 
-    ``tie`` orders equal texts: by id, null ids first.
+    ``tie`` orders equal texts: by the id's hash in its upper bits, and rows equal in
+    id too by a number of the row in its lower ``SPREAD_BITS``, so that a row repeated
+    any number of times is cut into ranges like other rows.  Store the result before
+    use: the row's number is drawn when it is computed.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
+    spread = (1 << SPREAD_BITS) - 1
+    of_id = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).bitwiseAND(F.lit(~spread))
+    of_row = F.xxhash64(F.monotonically_increasing_id()).bitwiseAND(F.lit(spread))
     return docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
                        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
                        F.xxhash64(text).alias("key"),
-                       F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).alias("tie"))
+                       of_id.bitwiseOR(of_row).alias("tie"))
 
 
 def _sample(rows: DataFrame, per_byte: Column) -> np.ndarray:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from courtgrid.llm import (embedding_dedup, fingerprints, line_dedup, lm, mixing, ngram_join, packing, sharding,
                            token_counts, toxicity)
+from courtgrid.llm.common import materialise
 from courtgrid.llm.queries import tokenizer_file
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, digest string, size string"
@@ -309,6 +310,23 @@ def test_truncation_goes_into_words(spark):
     assert got == dict(enumerate(fit)) | {20: 0}
 
 
+def test_shards_of_a_row_that_is_a_third_of_all(spark):
+    """One row repeated 20,000 times: ranges stay near their aim and shards equal."""
+    hot = [(7, "the same row again")] * 20_000 + [(None, None)] * 2_000
+    rest = [(i, f"text {i} " + "x" * (i % 40)) for i in range(38_000)]
+    table = spark.createDataFrame(hot + rest, "doc_id long, text string").repartition(6)
+    stored = materialise(sharding.sized_rows(table), "shard-test")
+    total = stored.agg(F.sum("size")).first()[0]
+    _, sizes = sharding.splitters(stored, 30, total)
+    assert len(sizes) > 15 and max(r["size"] for r in sizes) <= sharding.OVERFULL * total / 30
+    got = sharding.shard_by_size(table, 4).groupBy("shard").agg(
+        F.sum("size").alias("size"), F.count("*").alias("n"), F.min("slot").alias("low"), F.max("slot").alias("high"),
+        F.countDistinct("slot").alias("slots")).collect()
+    assert len(got) == 4 and sum(r["n"] for r in got) == 60_000
+    assert all(abs(r["size"] - total / 4) < 0.03 * total / 4 for r in got)
+    assert all((r["low"], r["high"], r["slots"]) == (0, r["n"] - 1, r["n"]) for r in got)
+
+
 def test_mix_reaches_targets(docs, rows):
     got = mixing.mix(docs).collect()
     assert len(got) == len(rows)
