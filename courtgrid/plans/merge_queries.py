@@ -16,9 +16,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import bucketed as BU
 from ..operators import merge as M
 from ..sources.tables import read_table
-from .registry import register
+from ..streaming.stream import job_dir
+from .registry import ORACLE_SQL, register
 
 PROD_BEFORE = "1999-01-01"
 BATCH_FROM = "1998-07-01"
@@ -241,6 +243,18 @@ def merge_bookings(spark, sf_dir):
     return M.merge_reservations(prod, active, pos="_pos")
 
 
+@register("merge_bookings_bucketed", ORACLE_SQL["merge_bookings"])
+def merge_bookings_bucketed(spark, sf_dir):
+    """M8, M1, J9 on bucketed tables: ``merge_bookings`` without a shuffle of production."""
+    b = bookings_view(spark, sf_dir)
+    folder = job_dir(spark, "bucketed")
+    name = "bookings_" + folder.rsplit("-", 1)[1]
+    active, cancelled = M.split_cancelled(_batch(b))
+    BU.create(_production(b), f"{name}_v1", folder, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    BU.merge(spark, f"{name}_v1", f"{name}_v2", folder, active, cancelled)
+    return BU.rows(spark, f"{name}_v2")
+
+
 MEMBERS_CUR_SQL = """
 members_cur AS (
   SELECT CAST(c_custkey AS VARCHAR) AS member_id, c_name AS first_name, c_mktsegment AS membership_type_name,
