@@ -14,6 +14,8 @@ Derived inputs (same formula on both sides):
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,11 +24,12 @@ from ..functions import scalars as S
 from ..operators import merge as M
 from ..operators import quality as Q
 from ..operators import watermark as T
-from ..sources.tables import read_table
+from ..sources.tables import read_table, write_clustered
+from ..streaming.stream import job_dir
 from . import merge_queries as MQ
 from . import models as P
 from .facility_queries import HOURS_DOCS, PEAK_DOCS, _doc_col, _doc_sql
-from .registry import local_to_utc_sql, register
+from .registry import ORACLE_SQL, local_to_utc_sql, register
 
 # ---------------------------------------------------------------------------
 # Contacts (C1–C4, C22)
@@ -463,6 +466,17 @@ def stg_union_tenant(spark, sf_dir):
     return P.fct_reservations(P.stg_reservations(reservations_raw_view(spark, sf_dir), orgs))
 
 
+MART_FILES = 32
+
+
+@register("mart_clustered", ORACLE_SQL["stg_union_tenant"])
+def mart_clustered(spark, sf_dir):
+    """The reservation mart written in ranges of (tenant, start) and read back."""
+    path = os.path.join(job_dir(spark, "mart_clustered"), "fct_reservations")
+    write_clustered(stg_union_tenant(spark, sf_dir), path, ["client_code", "reservation_start_at"], MART_FILES)
+    return spark.read.parquet(path)
+
+
 # Fixed test vocabulary: raw event types by props k % 8.
 RAW_EVENT_TYPES = ["ADULT_CLASS", " drop-in ", "League Night", "Party", "Private Event", "Social", "OPEN_PLAY", None]
 
