@@ -19,12 +19,16 @@ Derived inputs (same formula on both sides):
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import daymask
 from ..operators import slots as L
 from ..sources.tables import read_table
+from ..streaming.stream import job_dir
+from . import incremental
 from .registry import ORACLE_SQL, QUERIES, _pgts, _skey, _tl, register  # noqa: F401
 
 # The catalogue's composition window covers the whole event month.
@@ -197,3 +201,18 @@ def slots_all(spark, sf_dir):
 def slots_bitmask(spark, sf_dir):
     """L1–L14 from day masks: the rows of ``slots_all`` without self joins or checkpoints."""
     return daymask.compose_slots(avail_view(spark, sf_dir), AS_OF, HORIZON_DAYS)
+
+
+@register("models_incremental", SLOTS_ALL_SQL)
+def models_incremental(spark, sf_dir):
+    """P12 over three batches, each building the tenant-days it touches: stale openings and a
+    tenant that goes; the true openings of even days; those of odd days, the tenant emptied."""
+    avail, base = avail_view(spark, sf_dir), job_dir(spark, "models")
+    raw, mart = os.path.join(base, "raw"), os.path.join(base, "fe")
+    even = F.dayofmonth("slot_start") % 2 == 0
+    gone = avail.filter(even).withColumn("client_code", F.lit("gone"))
+    stale = avail.withColumn("court_id", F.lit("old")).unionByName(gone)
+    emptied = gone.select("client_code", F.to_date("slot_start").alias("day"))
+    for batch, cleared in ((stale, None), (avail.filter(even), None), (avail.filter(~even), emptied)):
+        incremental.availability_batch(batch, raw, mart, AS_OF, HORIZON_DAYS, cleared)
+    return incremental.read(spark, mart, daymask.compose_slots(avail, AS_OF, HORIZON_DAYS).schema)
