@@ -2,7 +2,8 @@
 declared model checks.
 
 Each load query deals all rows of a normaliser's query to a current state and
-a batch that repeats rows, and merges them by the rule of ``plans.loads``.
+a batch that repeats rows, and merges them by the rule of ``plans.loads``.  As in the
+jobs, the normalised rows are a written table, so payloads are parsed once.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from ..operators import watermark as T
 from ..sources import payloads as PL
 from ..sources import places as PLC
 from ..sources.tables import read_table
+from ..streaming.stream import stored
 from . import checks as CK
 from . import loads as LO
 from . import model_queries as MO
@@ -76,7 +78,7 @@ WHERE NOT EXISTS (SELECT 1 FROM inc i WHERE i.client_code = c.client_code AND i.
 
 def _load_members(rows: DataFrame, name: str) -> DataFrame:
     load = LO.LOADS[name]
-    rows, _ = LO.keyed(load, rows.select(*MEMBER_COLS))
+    rows, _ = LO.keyed(load, stored(rows.select(*MEMBER_COLS), f"load-{name}"))
     d = F.coalesce(F.right("member_id", F.lit(1)), F.lit(""))
     whole = F.struct(*MEMBER_COLS)
     cur = M.dedupe_first(rows.filter(~d.isin("3", "4")).withColumn("_pos", whole), LO.MEMBER_KEY, "_pos").select(
@@ -115,7 +117,7 @@ SELECT 'other_' || client_code AS client_code, 'gone-' || event_id AS event_id,
 
 def _load_events(rows: DataFrame, name: str) -> DataFrame:
     load = LO.LOADS[name]
-    rows, _ = LO.keyed(load, rows.select(*EVENT_COLS))
+    rows, _ = LO.keyed(load, stored(rows.select(*EVENT_COLS), f"load-{name}"))
     stale = rows.withColumn("event_id", F.concat(F.lit("gone-"), "event_id")).withColumn("created_at", _at(OLD))
     cur = stale.withColumn("client_code", F.explode(F.array("client_code", F.concat(F.lit("other_"), "client_code"))))
     inc = _batch(rows, EVENT_COLS, "event_name").withColumn("created_at", _at(NOW))
@@ -146,7 +148,7 @@ SELECT * REPLACE ('other_' || client_code AS client_code, 'stale' AS court_name)
 def load_sessions_b(spark, sf_dir):
     """M6 + Q10: court sessions; every tenant that was read is replaced, also
     one that has no sessions left (``other_nation_1``)."""
-    rows = PQ.json_sessions_fanout(spark, sf_dir).select(*SESSION_COLS)
+    rows = stored(PQ.json_sessions_fanout(spark, sf_dir).select(*SESSION_COLS), "load-sessions_b")
     cur = rows.withColumn("court_name", F.lit("stale")).withColumn(
         "client_code", F.explode(F.array("client_code", F.concat(F.lit("other_"), "client_code"))))
     read = rows.select("client_code").unionByName(spark.range(1).select(F.lit("other_nation_1").alias("client_code")))
@@ -169,7 +171,7 @@ SELECT *, TIMESTAMP '{NOW}' AS created_at FROM inc i WHERE NOT EXISTS (SELECT 1
 def load_cancellations_a(spark, sf_dir):
     """M2: cancellations, of which some are in the table already and all come
     twice; new keys are appended, equal null parts count as equal."""
-    rows = PQ.json_cancellations_a(spark, sf_dir).select(*_CANCEL_ROWS)
+    rows = stored(PQ.json_cancellations_a(spark, sf_dir).select(*_CANCEL_ROWS), "load-cancellations_a")
     start = F.col("reservation_start_at")
     cur = rows.filter(start < _at("1999-01-01")).withColumn("created_at", _at(OLD)).select(*CANCEL_COLS)
     inc = rows.filter(start.isNull() | (start >= _at("1998-07-01")))
@@ -198,10 +200,11 @@ SELECT * FROM cur c WHERE NOT EXISTS (SELECT 1 FROM inc i WHERE
 def load_reservations_b(spark, sf_dir):
     """M1: reservations of system B, one row per participant, merged with the
     table; every participant row is in the table or in the batch."""
-    rows = PQ.json_participants(spark, sf_dir).select(*RES_COLS).withColumn("_pos", F.struct(*RES_COLS))
+    rows = stored(PQ.json_participants(spark, sf_dir).select(*RES_COLS), "load-reservations_b") \
+        .withColumn("_pos", F.struct(*RES_COLS))
     old = F.coalesce(F.col("reservation_updated_at") < _at(_RES_CUT), F.lit(False))
     cur = M.dedupe_latest(rows.filter(old), M.RES_BATCH_KEY, "reservation_updated_at", "_pos").drop("_pos")
-    return LO.LOADS["reservations_b"].merge(cur.withColumn("created_at", _at(OLD)),
+    return LO.LOADS["reservations_b"].merge(stored(cur.withColumn("created_at", _at(OLD)), "load-reservations_b-table"),
                                             rows.filter(~old).withColumn("created_at", _at(NOW)), None)
 
 

@@ -94,7 +94,7 @@ def _merge_members(current, rows, processed):
 def _merge_events(current, rows, processed):
     """W6 + M5: last occurrence per event and start; tenants with events are
     replaced whole, others left."""
-    return M.replace_groups(current, M.dedupe_last(rows, EVENT_KEY, "_pos"), GROUP)
+    return M.replace_groups(current, M.dedupe_last(rows, EVENT_KEY, "_pos"), GROUP, groups=rows)
 
 
 def _merge_sessions(current, rows, processed):
