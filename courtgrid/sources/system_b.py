@@ -88,17 +88,26 @@ def combine_name(first: Column, last: Column, display: Column) -> Column:
     return F.when(either, F.concat_ws(" ", F.nullif(first, F.lit("")), F.nullif(last, F.lit("")))).otherwise(display)
 
 
-def participants(invitations: Column, reservation: Column) -> Column:
+def invitees(invitations: Column) -> Column:
     """Invitees not CANCELLED/DECLINED (id -> email -> phone), stripped,
-    blanks dropped, first-seen order, then the booker if absent."""
+    blanks dropped, first-seen order."""
     kept = F.filter(invitations, lambda i: ~F.upper(F.coalesce(i["status"], F.lit(""))).isin(SKIP_INVITE_STATUSES))
     ids = F.transform(kept, lambda i: F.nullif(S.py_strip(S.truthy_or(
         i["inviteeProfile"]["id"], i["invitee"]["email"], i["invitee"]["phoneNumber"], F.lit(None))), F.lit("")))
     ids = F.array_distinct(F.filter(ids, lambda x: x.isNotNull()))
-    ids = F.coalesce(ids, F.array().cast("array<string>"))
+    return F.coalesce(ids, F.array().cast("array<string>"))
+
+
+def host(reservation: Column) -> Column:
+    """The booker's id, else email, else phone, stripped; null when blank."""
     b = booker(reservation)
-    host = F.nullif(S.py_strip(S.truthy_or(b["id"], b["email"], b["phone"], F.lit(None))), F.lit(""))
-    return F.when(host.isNotNull() & ~F.array_contains(ids, host), F.concat(ids, F.array(host))).otherwise(ids)
+    return F.nullif(S.py_strip(S.truthy_or(b["id"], b["email"], b["phone"], F.lit(None))), F.lit(""))
+
+
+def participants(ids: Column, booked_by: Column) -> Column:
+    """The invitees, then the booker if absent."""
+    return F.when(booked_by.isNotNull() & ~F.array_contains(ids, booked_by),
+                  F.concat(ids, F.array(booked_by))).otherwise(ids)
 
 
 def normalize_event_reservations(events: DataFrame, client_code=None) -> DataFrame:
@@ -115,14 +124,14 @@ def normalize_event_reservations(events: DataFrame, client_code=None) -> DataFra
         F.posexplode("reservations.items").alias("_item", "r"),
     )
     created = S.parse_iso_utc(S.truthy_or(F.col("r.createdAt"), F.lit(None)))
-    rows = ev.select(
+    # A reservation's own columns are made before its participants are taken apart, each once.
+    booked = ev.select(
         "client_code",
         S.truthy_or(F.col("r.id"), F.col("r.code"), F.lit(None)).alias("reservation_id"),
         "event_id",
-        F.explode(participants(F.col("_inv"), F.col("r"))).alias("member_id"),
+        invitees(F.col("_inv")).alias("_ids"), host(F.col("r")).alias("_host"),
         created.alias("reservation_created_at"),
-        F.coalesce(S.parse_iso_utc(S.truthy_or(F.col("r.updatedAt"), F.lit(None))), created)
-        .alias("reservation_updated_at"),
+        S.parse_iso_utc(S.truthy_or(F.col("r.updatedAt"), F.lit(None))).alias("_updated"),
         F.coalesce(S.parse_iso_utc(S.truthy_or(F.col("r.startTime"), F.lit(None))), F.col("_es"))
         .alias("reservation_start_at"),
         F.coalesce(S.parse_iso_utc(S.truthy_or(F.col("r.endTime"), F.lit(None))), F.col("_ee"))
@@ -130,6 +139,13 @@ def normalize_event_reservations(events: DataFrame, client_code=None) -> DataFra
         S.parse_iso_utc(S.truthy_or(F.col("r.cancelledAt"), F.lit(None))).alias("reservation_cancelled_at"),
         *([F.struct("_pos", "_item").alias("_pos")] if has_pos else []),
     )
+    rows = booked.select(
+        "client_code", "reservation_id", "event_id",
+        F.explode(participants(F.col("_ids"), F.col("_host"))).alias("member_id"),
+        "reservation_created_at", F.coalesce("_updated", "reservation_created_at").alias("reservation_updated_at"),
+        "reservation_start_at", "reservation_end_at", "reservation_cancelled_at",
+        *(["_pos"] if has_pos else []),
+    )
     return rows
 
 
