@@ -200,5 +200,8 @@ def _inverse_step(diag: np.ndarray, upper: np.ndarray, value: float, start: np.n
     b = np.diag(diag) + np.diag(upper, 1)
     m = b.T @ b - value * np.eye(len(diag))
     m += EPS * max(np.abs(m).max(), 1) * np.eye(len(diag))
-    z = np.linalg.lstsq(m, start, rcond=None)[0]
+    try:
+        z = np.linalg.solve(m, start)  # least squares would cut off the very space that is sought
+    except np.linalg.LinAlgError:  # exactly singular
+        z = np.linalg.lstsq(m, start, rcond=None)[0]
     return z / np.linalg.norm(z)
