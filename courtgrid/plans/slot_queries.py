@@ -162,6 +162,7 @@ FROM every_kind"""
 
 
 SLOT_MATERIALIZE = "checkpoint"
+GROUPS = 16  # of tenants, in the incremental tables
 
 
 def _slot_plan(spark, sf_dir) -> L.SlotPlan:
@@ -206,7 +207,8 @@ def slots_bitmask(spark, sf_dir):
 @register("models_incremental", SLOTS_ALL_SQL)
 def models_incremental(spark, sf_dir):
     """P12 over three batches, each building the tenant-days it touches: stale openings and a
-    tenant that goes; the true openings of even days; those of odd days, the tenant emptied."""
+    tenant that goes; the true openings of even days; those of odd days, the tenant emptied.
+    The tenants are many and small: tables in groups."""
     avail, base = avail_view(spark, sf_dir), job_dir(spark, "models")
     raw, mart = os.path.join(base, "raw"), os.path.join(base, "fe")
     even = F.dayofmonth("slot_start") % 2 == 0
@@ -214,5 +216,5 @@ def models_incremental(spark, sf_dir):
     stale = avail.withColumn("court_id", F.lit("old")).unionByName(gone)
     emptied = gone.select("client_code", F.to_date("slot_start").alias("day"))
     for batch, cleared in ((stale, None), (avail.filter(even), None), (avail.filter(~even), emptied)):
-        incremental.availability_batch(batch, raw, mart, AS_OF, HORIZON_DAYS, cleared)
-    return incremental.read(spark, mart, daymask.compose_slots(avail, AS_OF, HORIZON_DAYS).schema)
+        incremental.availability_batch(batch, raw, mart, AS_OF, HORIZON_DAYS, cleared, GROUPS)
+    return incremental.read(spark, mart, daymask.compose_slots(avail, AS_OF, HORIZON_DAYS).schema, groups=GROUPS)

@@ -103,3 +103,43 @@ def test_events_and_empty_batches(spark, tmp_path):
         I.events_batch(two, raw, mart)
         now = P.fct_events(P.classify_events(one.filter("event_id <> '1'").unionByName(two)))
         assert _rows(I.read(spark, mart, want.schema)) == _rows(now)
+
+
+def test_tables_in_groups_equal_the_full_build(spark, tmp_path):
+    """Files grow with groups and days, not with tenants; other tenants of a folder keep their rows."""
+    rng, raw, mart = random.Random(7), str(tmp_path / "raw"), str(tmp_path / "fe")
+    tenants = [f"t{n}" for n in range(40)]
+    batches = [(_openings(rng, tenants, [2, 3, 4], 0.3), []), (_openings(rng, ["t3"], [3]), [("t5", dt.date(2025, 1, 3))]),
+               (_openings(rng, ["t7", "new"], [5]), [(None, None)])]
+    state = {}
+    for rows, cleared in batches:
+        for key in {(r[0], r[4].date()) for r in rows} | set(cleared):
+            state[key] = [r for r in rows if (r[0], r[4].date()) == key]
+        days = {d for _, d in state if d}
+        before = _times(raw)
+        I.availability_batch(spark.createDataFrame(rows, AVAIL), raw, mart, AS_OF, HORIZON,
+                             spark.createDataFrame(cleared, "client_code STRING, day DATE"), groups=2)
+        full = daymask.compose_slots(spark.createDataFrame([r for rs in state.values() for r in rs], AVAIL), AS_OF, HORIZON)
+        assert _rows(I.read(spark, mart, full.schema, groups=2)) == _rows(full)
+        assert len(_times(raw)) <= 2 * len(days)
+    own = {r[4].date().isoformat() for r in batches[-1][0]}
+    assert {_day_of(f)[1] for f in before.keys() ^ _times(raw).keys()} == own  # other days keep their files
+
+
+def test_a_put_that_died_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    rng, raw = random.Random(8), str(tmp_path / "raw")
+    days = [spark.createDataFrame([(t, dt.date(2025, 1, d)) for t in "ab"], "client_code STRING, _day DATE") for d in (2, 3)]
+    rows = [spark.createDataFrame(_openings(rng, "ab", [d]), AVAIL) for d in (2, 3)]
+    with monkeypatch.context() as died:
+        died.setattr(I, "_finish", lambda *_: None)
+        I.put(rows[0], "slot_start", days[0], raw, 2)
+    I.put(rows[1], "slot_start", days[1], raw, 2)
+    assert _rows(I.read(spark, raw, rows[0].schema, groups=2)) == _rows(rows[0].unionByName(rows[1]))
+
+
+def test_a_big_folder_is_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(I, "ROWS_PER_FILE", 5)
+    batch, raw = spark.createDataFrame(_openings(random.Random(9), "ab", [2], 1), AVAIL), str(tmp_path / "raw")
+    I.put(batch, "slot_start", I.touched_days(batch, "slot_start"), raw)
+    assert len(_times(raw)) > 4  # two folders of 16 rows and a blank one
+    assert _rows(I.read(spark, raw, batch.schema)) == _rows(batch)
