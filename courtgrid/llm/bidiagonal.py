@@ -181,15 +181,16 @@ def leading(r: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         z = np.zeros(d)
         z[a:b] = twisted_vector(diag[a:b], upper[a:b - 1], value)
         close = [i for i in range(j) if abs(ranked[i][0] - value) <= 1e-8 * max(value, EPS)]
-        for attempt in range(3):
-            rest = z - vectors[:, close] @ (vectors[:, close].T @ z)
-            if np.linalg.norm(rest) > 1e-3 or not close:
-                break
-            # The same vector again: another one of the space by one inverse step from a fixed start.
-            start = np.random.default_rng([j, attempt]).standard_normal(b - a)
-            start -= vectors[a:b][:, close] @ (vectors[a:b][:, close].T @ start)
-            z = np.zeros(d)
-            z[a:b] = _inverse_step(diag[a:b], upper[a:b - 1], value, start)
+        rest = z - vectors[:, close] @ (vectors[:, close].T @ z)
+        if close and np.linalg.norm(rest) < 0.5:
+            # The same vector again: another one of the space by inverse steps, each made orthogonal to those found.
+            found, own = vectors[a:b][:, close], np.random.default_rng(j).standard_normal(b - a)
+            for _ in range(4):
+                own = _inverse_step(diag[a:b], upper[a:b - 1], value, own - found @ (found.T @ own))
+                own -= found @ (found.T @ own)
+                own /= np.linalg.norm(own)
+            rest = np.zeros(d)
+            rest[a:b] = own
         rest -= vectors[:, close] @ (vectors[:, close].T @ rest)
         vectors[:, j] = rest / np.linalg.norm(rest)
     return values * size * size, back(vectors, turns)

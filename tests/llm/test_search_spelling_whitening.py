@@ -270,6 +270,18 @@ def test_bidiagonal_solver(made):
     assert np.abs(a.T @ (a @ z) - z * values[:z.shape[1]]).max() <= 1e-12 * want[0]
 
 
+@pytest.mark.parametrize("seed", [11, 12, 49, 171, 264])
+def test_all_vectors_of_tied_values(seed):
+    rng = np.random.default_rng(seed)
+    rng.standard_normal((90, 30))
+    a = np.linalg.qr(rng.standard_normal((90, 30)))[0] * np.repeat([5.0, 4.0, 1.0], 10)
+    a = a @ np.linalg.qr(rng.standard_normal((30, 30)))[0]
+    for k in (4, 30):
+        values, z = bidiagonal.leading(np.linalg.qr(a, mode="r"), k)
+        assert np.abs(z.T @ z - np.eye(k)).max() < 1e-12
+        assert np.abs(a.T @ (a @ z) - z * values[:k]).max() <= 1e-12 * values[0]
+
+
 def test_small_singular_values_keep_their_digits():
     """dqds finds values of a bidiagonal to high relative accuracy, however small."""
     diag, upper = 10.0 ** -np.arange(0, 16, 2.0), 0.3 * 10.0 ** -np.arange(1, 15, 2.0)
