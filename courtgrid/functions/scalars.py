@@ -175,15 +175,18 @@ def parse_iso_utc(x, naive_zone="UTC") -> Column:
 
     One regex checks the plain shape, which most texts have; only other texts are
     rewritten, then checked against all of Python's ``fromisoformat`` forms.  The
-    offset test is plain string work on the part after the date, and Spark's own
-    cast parses 'Z', '+05', '+0530' and '+05:30'."""
+    offset test is plain string work on the text as it came (a date in either form ends
+    before its eleventh character, an offset starts after it), so no regex is run for it,
+    and Spark's own cast parses 'Z', '+05', '+0530' and '+05:30'."""
     c = _c(x)
     zone = F.lit(naive_zone) if isinstance(naive_zone, str) else naive_zone
     rewritten = _extended(c)
     s = F.when(c.rlike(ISO_PLAIN_RE), c).when(rewritten.rlike(ISO_ANY_RE), rewritten)
-    tail = F.substr(s, F.lit(11))
-    has_offset = s.endswith("Z") | (F.instr(tail, "+") > 0) | (F.instr(tail, "-") > 0)
     ts = s.try_cast("timestamp")  # session zone is UTC: a naive wall clock is kept as is
+    if isinstance(naive_zone, str) and naive_zone == "UTC":
+        return ts
+    tail = F.substr(c, F.lit(11))
+    has_offset = c.endswith("Z") | (F.instr(tail, "+") > 0) | (F.instr(tail, "-") > 0)
     return F.when(has_offset, ts).otherwise(F.to_utc_timestamp(ts, zone))
 
 

@@ -190,8 +190,9 @@ def normalize_sessions(sessions: DataFrame, end_time, client_code=None) -> DataF
     end = F.lit(end_time).cast("timestamp") if isinstance(end_time, str) else end_time
     s = sessions.filter(F.col("status") == AVAILABLE).select(
         _tenant(client_code).alias("client_code"),
-        _session_time(F.col("startTime")).alias("slot_start"),
-        _session_time(F.col("endTime")).alias("slot_end"),
+        # from a generator: the filter below would parse the texts again
+        F.inline(F.array(F.struct(_session_time(F.col("startTime")).alias("slot_start"),
+                                  _session_time(F.col("endTime")).alias("slot_end")))),
         F.col("periodType").alias("period_type"),
         F.col("availableTables.items").alias("_tables"),
         *[c for c in ("_pos",) if c in sessions.columns],

@@ -9,10 +9,12 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from courtgrid.functions import scalars as S
 from courtgrid.plans import jobs as J
 from courtgrid.plans import loads as LO
 from courtgrid.sources import payloads as PL
 from courtgrid.sources import snapshot as SN
+from courtgrid.sources import system_b as B
 from courtgrid.sources import variants as VA
 
 NOW = "2025-01-06 00:00:00"
@@ -207,3 +209,18 @@ def test_the_landing_is_scanned_once(spark, tmp_path):
         seen += [f for f in df.inputFiles() if "/poll=" in f]
         assert "from_json" not in df._jdf.queryExecution().toString()
     assert rows.count() == 1 and not seen  # rows and rejects come from the staged table
+
+
+def test_a_session_time_is_parsed_once(spark):
+    df = spark.createDataFrame([], "client_code STRING, " + PL.B_SESSION)
+    plan = B.normalize_sessions(df, "2024-01-29")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == 4  # the plain and the rewritten form of two texts
+
+
+def test_offsets_of_basic_and_extended_texts(spark):
+    texts = ["20250106T100000-0500", "2025-01-06T10:00:00+01:00", "20250106T100000Z", "20250106", "2025-01-06 10:00", "20250106T1000", "2025-01-06Z"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    got = [tuple(r) for r in rows.select(S.parse_iso_utc("t").cast("string"), S.parse_event_time("t").cast("string")).collect()]
+    assert got == [("2025-01-06 15:00:00",) * 2, ("2025-01-06 09:00:00",) * 2, ("2025-01-06 10:00:00",) * 2,
+                   ("2025-01-06 00:00:00", "2025-01-06 05:00:00"), ("2025-01-06 10:00:00", "2025-01-06 15:00:00"),
+                   ("2025-01-06 10:00:00", "2025-01-06 15:00:00"), (None, None)]
