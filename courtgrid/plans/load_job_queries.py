@@ -16,8 +16,8 @@ from ..operators import roster as R
 from ..operators import watermark as T
 from ..sources import payloads as PL
 from ..sources import places as PLC
+from ..sources.scratch import job_dir, stored, stored_parts
 from ..sources.tables import read_table
-from ..streaming.stream import stored
 from . import checks as CK
 from . import loads as LO
 from . import model_queries as MO
@@ -121,7 +121,10 @@ def _load_events(rows: DataFrame, name: str) -> DataFrame:
     stale = rows.withColumn("event_id", F.concat(F.lit("gone-"), "event_id")).withColumn("created_at", _at(OLD))
     cur = stale.withColumn("client_code", F.explode(F.array("client_code", F.concat(F.lit("other_"), "client_code"))))
     inc = _batch(rows, EVENT_COLS, "event_name").withColumn("created_at", _at(NOW))
-    return load.merge(cur, inc, None)
+
+    def last(batch, keys, pos):
+        return stored_parts(lambda part: M.dedupe_last(part, keys, pos), [batch], keys, job_dir(batch.sparkSession, f"last-{name}"))
+    return load.merge(cur, inc, None, last)
 
 
 @register("load_events_a", _events_sql("json_events_a"))

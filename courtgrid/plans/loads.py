@@ -91,10 +91,12 @@ def _merge_members(current, rows, processed):
     return M.upsert(current, rows, MEMBER_KEY, pos="_pos")
 
 
-def _merge_events(current, rows, processed):
-    """W6 + M5: last occurrence per event and start; tenants with events are
-    replaced whole, others left."""
-    return M.replace_groups(current, M.dedupe_last(rows, EVENT_KEY, "_pos"), GROUP, groups=rows)
+def _merge_events(current, rows, processed, last=M.dedupe_last):
+    """W6 + M5: last occurrence per event and start (``last``: how it is found); tenants
+    with events are replaced whole, others left."""
+    # The groups as a table: its size is known when the join is planned, so the current rows are not shuffled.
+    groups = ST.stored(rows.select(*GROUP).distinct(), "groups")
+    return M.replace_groups(current, last(rows, EVENT_KEY, "_pos"), GROUP, groups=groups)
 
 
 def _merge_sessions(current, rows, processed):
