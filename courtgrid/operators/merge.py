@@ -244,6 +244,8 @@ def replace_groups(current: DataFrame, incoming: DataFrame, group_cols: Sequence
 # ---------------------------------------------------------------------------
 RES_BATCH_KEY = ["client_code", "reservation_id", "member_id"]
 RES_STAGE_KEY = ["client_code", "event_id", "reservation_start_at", "reservation_created_at", "member_id"]
+# In both keys: rows that differ in these never meet in a merge, so it can be made in parts by them.
+RES_APART = ["client_code", "member_id"]
 
 
 def merge_reservations(current: DataFrame, incoming: DataFrame, pos: str = "_pos",

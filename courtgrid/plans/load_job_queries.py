@@ -206,9 +206,16 @@ def load_reservations_b(spark, sf_dir):
     rows = stored(PQ.json_participants(spark, sf_dir).select(*RES_COLS), "load-reservations_b") \
         .withColumn("_pos", F.struct(*RES_COLS))
     old = F.coalesce(F.col("reservation_updated_at") < _at(_RES_CUT), F.lit(False))
-    cur = M.dedupe_latest(rows.filter(old), M.RES_BATCH_KEY, "reservation_updated_at", "_pos").drop("_pos")
-    return LO.LOADS["reservations_b"].merge(stored(cur.withColumn("created_at", _at(OLD)), "load-reservations_b-table"),
-                                            rows.filter(~old).withColumn("created_at", _at(NOW)), None)
+
+    def table(part):
+        cur = M.dedupe_latest(part, M.RES_BATCH_KEY, "reservation_updated_at", "_pos").drop("_pos")
+        return cur.withColumn("created_at", _at(OLD))
+
+    def merge(cur, part):
+        return LO.LOADS["reservations_b"].merge(cur, part, None)
+    cur = stored_parts(table, [rows.filter(old)], M.RES_APART, job_dir(spark, "load-reservations_b-table"))
+    inc = rows.filter(~old).withColumn("created_at", _at(NOW))
+    return stored_parts(merge, [cur, inc], M.RES_APART, job_dir(spark, "load-reservations_b-merged"))
 
 
 @register("load_reviews", f"""

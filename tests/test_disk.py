@@ -12,7 +12,7 @@ from courtgrid.plans import load_job_queries as Q
 from courtgrid.plans import loads as LO
 from courtgrid.sources import scratch as SC
 
-from .test_load_once import EVENT
+from .test_load_once import EVENT, RESERVATION
 
 T = dt.datetime(1994, 5, 1, 10)
 EVENTS = [(f"t{i % 3}" if i % 9 else None, "podplay" if i % 11 else None, f"e{i % 17}" if i % 13 else None, f"n{i}", None, "t",
@@ -89,3 +89,25 @@ def test_groups_are_measured_before_the_join(spark):
         assert out.count() == 100_000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+RESERVATIONS = [(f"t{i % 3}" if i % 9 else None, f"r{i % 6}" if i % 8 else None, f"e{i % 4}", f"m{i % 3}" if i % 5 else None, T,
+                 T + dt.timedelta(days=200 * (i % 4)) if i % 7 else None, T + dt.timedelta(hours=i % 2), T, None) for i in range(80)]
+
+
+def test_reservations_are_merged_in_parts(spark, monkeypatch):
+    made = spark.createDataFrame(RESERVATIONS, RESERVATION)
+    monkeypatch.setattr(Q.PQ, "json_participants", lambda spark, sf_dir: made)
+    whole = Q.load_reservations_b(spark, "")
+    assert "Join" not in _plan(whole) and "Exchange" not in _plan(whole)
+    monkeypatch.setattr(SC, "ROWS_A_PART", 10)
+    before = _shuffle_files(spark)
+    parts = Q.load_reservations_b(spark, "")
+    assert _settles(spark, before)
+    assert _sorted(parts) == _sorted(whole)
+    # as the merge in one piece, from the same rows
+    rows = made.withColumn("_pos", F.struct(*Q.RES_COLS))
+    old = F.coalesce(F.col("reservation_updated_at") < Q._at(Q._RES_CUT), F.lit(False))
+    cur = Q.M.dedupe_latest(rows.filter(old), Q.M.RES_BATCH_KEY, "reservation_updated_at", "_pos").drop("_pos")
+    one = Q.M.merge_reservations(cur.withColumn("created_at", Q._at(Q.OLD)), rows.filter(~old).withColumn("created_at", Q._at(Q.NOW)))
+    assert _sorted(parts) == _sorted(one) and one.count() > 20
