@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import gzip
+import json
 import time
 
 import pytest
@@ -10,7 +12,9 @@ from pyspark.sql import functions as F
 
 from courtgrid.plans import load_job_queries as Q
 from courtgrid.plans import loads as LO
+from courtgrid.plans import streaming_queries as SQ
 from courtgrid.sources import scratch as SC
+from courtgrid.sources import snapshot as SN
 
 from .test_load_once import EVENT, RESERVATION
 
@@ -111,3 +115,48 @@ def test_reservations_are_merged_in_parts(spark, monkeypatch):
     cur = Q.M.dedupe_latest(rows.filter(old), Q.M.RES_BATCH_KEY, "reservation_updated_at", "_pos").drop("_pos")
     one = Q.M.merge_reservations(cur.withColumn("created_at", Q._at(Q.OLD)), rows.filter(~old).withColumn("created_at", Q._at(Q.NOW)))
     assert _sorted(parts) == _sorted(one) and one.count() > 20
+
+
+def _payload(i: int) -> str:
+    day = f"2024-01-{1 + i % 5:02d}T10:00:00"
+    return json.dumps({"Id": 10 * (i % 25), "ReservationTypeId": i % 2, "ReservationTypeName": "Court Reservation", "StartTime": day,
+                       "EndTime": day, "CreatedOnUtc": day, "UpdatedOnUtc": None if i % 4 == 0 else f"2024-01-0{1 + i % 9}T09:00:00",
+                       "Players": [{"OrganizationMemberId": i % 6}, {"OrganizationMemberId": None}]})
+
+
+def test_stream_lands_packed_and_merges_in_parts(spark, monkeypatch, tmp_path):
+    made = spark.createDataFrame([(f"T{i % 3}", _payload(i)) for i in range(60)], "client_code string, payload string").repartition(3)
+    monkeypatch.setattr(SQ.PQ, "_a_res_payload", lambda spark, sf_dir: made)
+    monkeypatch.setattr(SQ, "LANDED_ROWS", 4)
+    out = []
+    for name, rows in (("whole", SC.ROWS_A_PART), ("parts", 40)):
+        monkeypatch.setattr(SC, "ROWS_A_PART", rows)
+        monkeypatch.setattr(SQ.ST, "job_dir", lambda spark, job, name=name: str(tmp_path / name / job))
+        out.append(_sorted(SQ.stream_reservations_merge(spark, "")))
+        landed = sorted((tmp_path / name / "reservations" / "landing").glob("part-*"))
+        assert landed and all(f.name.endswith(".json.gz") for f in landed)
+        assert max(len(gzip.decompress(f.read_bytes()).splitlines()) for f in landed) <= 4
+    assert out[0] == out[1] and len(out[0]) > 30
+
+
+def test_partition_merge_computes_its_batch_once_and_leaves_no_tables(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(SC, "ROWS_A_PART", 3)
+    monkeypatch.setattr(SN, "job_dir", lambda spark, name: str(tmp_path / name / str(time.time_ns())))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(row):
+        seen.add(1)
+        return row
+
+    def merge(cur, inc):
+        return inc.unionByName(cur.join(inc, ["client_code", "k"], "left_anti"))
+    base, schema = str(tmp_path / "table"), "client_code string, k int, v int"
+    for n, rows in enumerate(([(t, k, 1) for t in ("a", "01", "c/d") for k in range(4)], [("a", 1, 2), ("01", 9, 2)])):
+        batch = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2).map(count), schema)
+        now = SN.merge_partitions(spark, base, batch, merge, ["client_code"])
+        assert sorted(map(tuple, now.collect())) == sorted(
+            [(t, k, 1) for t in ("a", "01", "c/d") for k in range(4)] if n == 0 else
+            [("a", 0, 1), ("a", 1, 2), ("a", 2, 1), ("a", 3, 1), ("01", 9, 2), *[("01", k, 1) for k in range(4)]])
+    assert seen.value == 12 + 2
+    assert spark.read.schema(schema).parquet(base).count() == 13
+    assert not [p for n in ("merge-batch", "merge-next") for p in (tmp_path / n).iterdir()]
